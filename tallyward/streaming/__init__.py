@@ -1,0 +1 @@
+"""Nothing to stream: every source of this workload is a finished batch table."""
