@@ -106,8 +106,16 @@ def _summary(spark: SparkSession, path: str) -> DataFrame:
     return marts.mart_claims_summary(testbed.claims(spark, path, _SUMMARY))
 
 
-def _on_summary(operator: Callable, **options) -> Query:
-    return lambda spark, path: operator(_summary(spark, path), **options)
+def _on_summary(operator: Callable, keys: str, measures_: str, needs: str, **options) -> Query:
+    """A measure over the claims summary at the grain of `keys`."""
+    return lambda spark, path: operator(
+        marts.summary_at(
+            testbed.claims(spark, path, [*keys.split(), *needs.split()]),
+            keys.split(),
+            measures_.split(),
+        ),
+        **options,
+    )
 
 
 def _on_payer_mart(operator: Callable) -> Query:
@@ -116,7 +124,7 @@ def _on_payer_mart(operator: Callable) -> Query:
     )
 
 
-def _on_quality_mart(operator: Callable, *columns: str, **options) -> Query:
+def _on_quality_mart(operator: Callable, **options) -> Query:
     return lambda spark, path: operator(
         quality_mart.quality_metrics(testbed.claims(spark, path, _QUALITY)), **options
     )
@@ -391,15 +399,26 @@ def queries() -> dict[str, Query]:
         "los_by_region": _on_quality_mart(quality_mart.los_by_region),
         # measures
         "exec_kpis": _on_claims(measures.exec_kpis, *stay, _COST, "claim_status"),
-        "measure_spend_m": _on_summary(measures.measure_spend_m),
-        "measure_claims": _on_summary(measures.measure_claims),
-        "measure_avg_cost": _on_summary(measures.measure_avg_cost),
-        "measure_readmit_pct": _on_summary(measures.measure_readmit_pct),
-        "measure_spend_yoy": _on_summary(measures.measure_spend_yoy),
-        "measure_spend_yoy_selected": _on_summary(measures.measure_spend_yoy, years=[1997, 1999]),
-        "region_cost_rank": _on_summary(measures.region_cost_rank),
+        "measure_spend_m": _on_summary(measures.measure_spend_m, "", "total_spend", _COST),
+        "measure_claims": _on_summary(measures.measure_claims, "service_year", "claims", ""),
+        "measure_avg_cost": _on_summary(
+            measures.measure_avg_cost, "", "total_spend claims", _COST
+        ),
+        "measure_readmit_pct": _on_summary(
+            measures.measure_readmit_pct, "", "readmissions claims", "readmission_30d"
+        ),
+        "measure_spend_yoy": _on_summary(
+            measures.measure_spend_yoy, "service_year", "total_spend", _COST
+        ),
+        "measure_spend_yoy_selected": _on_summary(
+            measures.measure_spend_yoy, "service_year", "total_spend", _COST, years=[1997, 1999]
+        ),
+        "region_cost_rank": _on_summary(
+            measures.region_cost_rank, "region", "total_spend claims", _COST
+        ),
         "region_cost_rank_selected": _on_summary(
-            measures.region_cost_rank, regions=["Midwest", "West"]
+            measures.region_cost_rank, "region", "total_spend claims", _COST,
+            regions=["Midwest", "West"],
         ),
         "measure_denial_pct": _on_payer_mart(measures.measure_denial_pct),
         "yoy_avg_cost": lambda spark, path: measures.yoy_avg_cost(
@@ -407,10 +426,15 @@ def queries() -> dict[str, Query]:
                 testbed.claims(spark, path, ["region", "service_year", _COST])
             )
         ),
-        "cost_per_readmission": _on_summary(measures.cost_per_readmission),
+        "cost_per_readmission": _on_summary(
+            measures.cost_per_readmission, "", "total_spend readmissions", f"{_COST} readmission_30d"
+        ),
         "payer_coverage": _on_payer_mart(measures.payer_coverage),
-        "quarterly_kpis": _on_summary(measures.quarterly_kpis),
-        "region_spend_vs_readmit": _on_summary(measures.region_spend_vs_readmit),
+        "quarterly_kpis": lambda spark, path: measures.quarterly_kpis(_summary(spark, path)),
+        "region_spend_vs_readmit": _on_summary(
+            measures.region_spend_vs_readmit, "region", "total_spend readmissions claims",
+            f"{_COST} readmission_30d",
+        ),
         # marts
         "mart_claims_summary": _summary,
         "mart_regional_cost": _on_claims(

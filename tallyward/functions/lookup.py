@@ -1,21 +1,27 @@
-"""Lookups in small fixed tables, kept inside the projection instead of a join."""
+"""Lookups in small fixed tables, kept inside the projection instead of a join.
+
+The tables are written as SQL literals, which Spark folds into one constant.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from itertools import chain
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
 
-def lookup(key: Column, table: Mapping[str, object], data_type: str) -> Column:
+def _text(value: object) -> str:
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def lookup(key: Column, table: Mapping[str, object], data_type: str = "string") -> Column:
     """Value of `key` in `table`, NULL for an unknown key."""
-    entries = chain.from_iterable(
-        (F.lit(name), F.lit(value).cast(data_type)) for name, value in table.items()
-    )
-    return F.try_element_at(F.create_map(*entries), key)
+    pairs = [f"{_text(name)}, CAST({_text(value)} AS {data_type})" for name, value in table.items()]
+    return F.try_element_at(F.expr(f"map({', '.join(pairs)})"), key)
 
 
-def nth_of(position: Column, values: list[str]) -> Column:
+def nth_of(position: Column, values: Iterable[str]) -> Column:
     """The `position`-th (0-based) entry of `values`."""
-    return F.try_element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
+    entries = ", ".join(_text(value) for value in values)
+    return F.try_element_at(F.expr(f"array({entries})"), (position + 1).cast("int"))

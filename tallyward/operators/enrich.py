@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyward.functions.lookup import lookup
-from tallyward.schemas import DIAGNOSES, MONEY, PAID_SHARE, PROCEDURES
+from tallyward.functions.lookup import lookup, nth_of
+from tallyward.schemas import DIAGNOSES, MONEY, PAID_SHARE, PROCEDURES, QUARTERS
+
+
+def quarter_label(date: str | Column) -> Column:
+    return nth_of(F.quarter(date) - 1, QUARTERS)
 
 
 def enrich_calendar(claims: DataFrame, date: str = "service_date") -> DataFrame:
@@ -17,7 +21,7 @@ def enrich_calendar(claims: DataFrame, date: str = "service_date") -> DataFrame:
         {
             "service_year": F.year(date),
             "service_month": F.month(date),
-            "service_quarter": F.concat(F.lit("Q"), F.quarter(date).cast("string")),
+            "service_quarter": quarter_label(date),
         }
     )
 
@@ -30,8 +34,8 @@ def enrich_codes(
     """Add descriptions for diagnosis and procedure codes, NULL where unknown."""
     return claims.withColumns(
         {
-            "diagnosis_desc": lookup(F.col("diagnosis_code"), diagnoses, "string"),
-            "procedure_desc": lookup(F.col("procedure_code"), procedures, "string"),
+            "diagnosis_desc": lookup(F.col("diagnosis_code"), diagnoses),
+            "procedure_desc": lookup(F.col("procedure_code"), procedures),
         }
     )
 
@@ -54,7 +58,7 @@ def date_table(days: DataFrame, start: str = "start", end: str = "end") -> DataF
     return days.select(every_day.alias("Date")).select(
         day,
         F.year(day).alias("Year"),
-        F.concat(F.lit("Q"), F.quarter(day).cast("string")).alias("Quarter"),
+        quarter_label(day).alias("Quarter"),
         F.month(day).alias("Month"),
         F.date_format(day, "MMM").alias("MonthName"),
         F.date_format(day, "yyyy-MM").alias("YearMonth"),

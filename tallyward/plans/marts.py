@@ -6,6 +6,8 @@ straight from claims, or all together from one cube that scans claims once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallyward.functions.additive import COST, merge, rollup
@@ -29,6 +31,14 @@ PAYER_BLOCKS = [*COST, "paid_cents", "paid_rows", "denied"]
 READMISSION_KEYS = ["region", "service_year", "diagnosis_desc", "facility_type"]
 READMISSION_BLOCKS = [*COST, "readmissions"]
 
+# Summary columns that may be summed further: the block behind each, and its form.
+_ADDITIVE = {
+    "claims": ("claims", F.col),
+    "total_spend": ("cost_cents", from_cents),
+    "total_paid": ("paid_cents", from_cents),
+    "readmissions": ("readmissions", F.col),
+}
+
 _CUBE_BLOCKS = list(dict.fromkeys([*SUMMARY_BLOCKS, *PAYER_BLOCKS, *quality.BLOCKS]))
 
 
@@ -85,6 +95,19 @@ def mart_claims_summary(claims: DataFrame) -> DataFrame:
     return _present_summary(rollup(claims, SUMMARY_KEYS, SUMMARY_BLOCKS))
 
 
+def summary_at(claims: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Additive columns of the claims summary at a coarser grain.
+
+    A measure that only sums such columns gives the same result at any grain that
+    keeps its own keys, so it need not pay for the others, nor for the joins
+    behind them.
+    """
+    blocks = [_ADDITIVE[name][0] for name in columns]
+    return rollup(claims, keys, blocks).select(
+        *keys, *[_ADDITIVE[name][1](_ADDITIVE[name][0]).alias(name) for name in columns]
+    )
+
+
 def mart_regional_cost(claims: DataFrame) -> DataFrame:
     return _present_regional(rollup(claims, REGIONAL_KEYS, COST))
 

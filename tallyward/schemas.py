@@ -73,6 +73,7 @@ SUMMARY_TYPES = {
 # The domains and lookup tables of the claims model.
 REGIONS = ["Northeast", "Southeast", "Midwest", "West", "Southwest"]
 FACILITY_TYPES = ["Hospital", "Outpatient Clinic", "ER", "Specialist Office", "Primary Care"]
+QUARTERS = ["Q1", "Q2", "Q3", "Q4"]
 DIAGNOSES = {
     "E11": "Type 2 Diabetes",
     "I10": "Hypertension",

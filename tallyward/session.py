@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app_name: str, cores: int | str = "*") -> SparkSession:
@@ -50,3 +50,16 @@ def materialize(frame: DataFrame) -> DataFrame:
     """Write `frame` to the shared folder once and continue from the files."""
     shared_root(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def broadcast_if_small(frame: DataFrame, *inputs: DataFrame) -> DataFrame:
+    """Hint a broadcast of `frame` if the `inputs` it is joined from are small.
+
+    Spark estimates a join as the product of its sides and so never broadcasts
+    one by itself.  Its estimates of the inputs are sound, and their sum has to
+    stay below the session's own broadcast threshold.
+    """
+    conf = frame.sparkSession._jsparkSession.sessionState().conf()
+    plans = [each._jdf.queryExecution().optimizedPlan() for each in inputs]
+    size = sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
+    return F.broadcast(frame) if size <= conf.autoBroadcastJoinThreshold() else frame
