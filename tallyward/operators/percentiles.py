@@ -1,9 +1,10 @@
 """Exact interpolated percentiles without collecting a group in one place.
 
-Amounts are first counted per distinct value.  A value's cents are split into a
-high and a low half of 20 bits each (an amount of 12 digits has fewer than 40
-bits), so a running count inside one high half, and one over the high halves of
-a group, each see at most a million or so rows however large the group is.
+A first pass counts amounts per bucket of 2^16 cents and finds, for each group,
+the few buckets its percentiles fall in.  A second pass counts the rows of those
+buckets per distinct amount and picks the amounts at the wanted positions.  No
+step sorts more than the buckets of a group or the 2^16 distinct amounts of a
+bucket, and rows are counted before they are brought together.
 """
 
 from __future__ import annotations
@@ -11,17 +12,43 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyward.functions.money import cents, mean_money, quotient
+from tallyward.session import materialize
 
-_LOW_BITS = 20
+_BUCKET_BITS = 16
+_BROADCAST_ROWS = 100_000
 
 # The percentiles of the regional report.
 REPORT_POINTS = {"p25": "0.25", "median": "0.50", "p75": "0.75", "p90": "0.90"}
 # End of fixed values.
 
 
+def _positions(point: Fraction) -> tuple[Column, Column]:
+    """0-based positions of the two amounts a percentile lies between."""
+    scaled = (F.col("_rows") - 1) * point.numerator
+    below = quotient(scaled, F.lit(point.denominator))
+    above = F.when(scaled % point.denominator == 0, below).otherwise(below + 1)
+    return below, above
+
+
+def _interpolated(name: str, point: Fraction) -> Column:
+    part = ((F.col("_rows") - 1) * point.numerator) % point.denominator
+    low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+    exact = low * (point.denominator - part) + high * part
+    return (F.round(exact.cast("double") / point.denominator, 0) / 100).alias(name)
+
+
+def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be NULL, keeping the left ones."""
+    other = right.select(*[F.col(c).alias(f"{c}_r") if c in keys else c for c in right.columns])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"{key}_r"))
+    return left.join(other, same, how).drop(*[f"{key}_r" for key in keys])
+
+
 def grouped_percentiles(
     claims: DataFrame,
     by: Sequence[str],
@@ -33,66 +60,66 @@ def grouped_percentiles(
     `points` maps output names to decimal fractions.  NULL amounts are ignored; a
     group that has nothing else gets NULLs.
     """
-    by = list(by)
-    keys = [f"_g{i}" for i in range(len(by))]
-    counted = (
-        claims.groupBy(
-            *[F.col(c).alias(k) for c, k in zip(by, keys)], cents(amount).alias("_cents")
-        )
-        .agg(F.count(amount).alias("_n"))
-        .withColumn("_high", F.shiftright("_cents", _LOW_BITS))
-    )
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    in_bucket = Window.partitionBy(*keys, "_high").orderBy("_cents").rowsBetween(*so_far)
-    running = counted.withColumn("_through", F.sum("_n").over(in_bucket))
-
-    in_group = Window.partitionBy(*keys)
+    if not by:
+        raise ValueError("name at least one column to group by")
+    fractions = {name: Fraction(point) for name, point in points.items()}
+    wanted = {
+        f"_{name}_{side}": position
+        for name, point in fractions.items()
+        for side, position in zip(("low", "high"), _positions(point))
+    }
+    keys = [f"_key{i}" for i in range(len(by))]
+    amounts = claims.select(
+        *[F.col(column).alias(key) for column, key in zip(by, keys)], cents(amount).alias("_cents")
+    ).withColumn("_bucket", F.shiftright("_cents", _BUCKET_BITS))
+
+    group = Window.partitionBy(*keys)
+    up_to = (Window.unboundedPreceding, Window.currentRow)
     buckets = (
-        counted.groupBy(*keys, "_high")
-        .agg(F.sum("_n").alias("_bucket_n"))
-        .select(
-            *[F.col(k).alias(f"{k}_b") for k in keys],
-            F.col("_high").alias("_high_b"),
-            (
-                F.sum("_bucket_n").over(in_group.orderBy("_high").rowsBetween(*so_far))
-                - F.col("_bucket_n")
-            ).alias("_before"),
-            F.sum("_bucket_n").over(in_group).alias("_total"),
+        amounts.groupBy(*keys, "_bucket")
+        .agg(F.count("_cents").alias("_n"), F.sum("_cents").alias("_sum"))
+        .withColumns(
+            {
+                "_end": F.sum("_n").over(group.orderBy("_bucket").rowsBetween(*up_to)),
+                "_rows": F.sum("_n").over(group),
+                "_total": F.sum("_sum").over(group),
+                "_first": F.row_number().over(group.orderBy("_bucket")) == 1,
+            }
         )
+        .withColumn("_start", F.col("_end") - F.col("_n"))
+    )
+    hit = F.lit(False)
+    for position in wanted.values():
+        hit = hit | ((F.col("_start") <= position) & (position < F.col("_end")))
+    # The first bucket of a group is kept for the totals even if nothing falls in it.
+    kept = materialize(buckets.withColumn("_hit", hit).filter("_hit OR _first"))
+    targets = kept.filter("_hit").select(*keys, "_bucket", "_start", "_rows")
+    bucket = [*keys, "_bucket"]
+    if kept.count() <= _BROADCAST_ROWS:
+        # A few buckets per group: drop all other rows before anything is shuffled.
+        targets = F.broadcast(targets)
+        amounts = _join_on(amounts, targets.select(*bucket), bucket, "left_semi")
+
+    in_bucket = Window.partitionBy(*bucket).orderBy("_cents").rowsBetween(*up_to)
+    counted = amounts.groupBy(*bucket, "_cents").agg(F.count(F.lit(1)).alias("_count"))
+    placed = (
+        _join_on(counted, targets, bucket, "inner")
+        .withColumn("_end", F.col("_start") + F.sum("_count").over(in_bucket))
+        .withColumn("_begin", F.col("_end") - F.col("_count"))
     )
-    same = F.col("_high").eqNullSafe(F.col("_high_b"))
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"{key}_b"))
-    placed = running.join(buckets, same)
-
-    # This value occupies the 0-based positions first..last of its group.
-    last = F.col("_before") + F.col("_through") - 1
-    first = last - F.col("_n") + 1
-    fractions = {name: Fraction(point) for name, point in points.items()}
-    picks = []
-    for name, p in fractions.items():
-        scaled = (F.col("_total") - 1) * p.numerator
-        below = quotient(scaled, F.lit(p.denominator))
-        above = F.when(scaled % p.denominator == 0, below).otherwise(below + 1)
-        for suffix, position in (("lo", below), ("hi", above)):
-            here = (first <= position) & (position <= last)
-            picks.append(F.max(F.when(here, F.col("_cents"))).alias(f"_{name}_{suffix}"))
     picked = placed.groupBy(*keys).agg(
-        *picks,
-        F.sum(F.col("_cents") * F.col("_n")).alias("_sum"),
-        F.max("_total").alias("_rows"),
+        *[
+            F.max(
+                F.when((F.col("_begin") <= position) & (position < F.col("_end")), F.col("_cents"))
+            ).alias(name)
+            for name, position in wanted.items()
+        ]
     )
-
-    def interpolate(name: str, p: Fraction):
-        part = ((F.col("_rows") - 1) * p.numerator) % p.denominator
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        exact = low * (p.denominator - part) + high * part
-        return (F.round(exact.cast("double") / p.denominator, 0) / 100).alias(name)
-
-    return picked.select(
-        *[F.col(k).alias(c) for c, k in zip(by, keys)],
-        *[interpolate(name, p) for name, p in fractions.items()],
-        mean_money("_sum", "_rows").alias("mean"),
+    groups = kept.filter("_first").select(*keys, "_rows", "_total")
+    return _join_on(groups, picked, keys, "left").select(
+        *[F.col(key).alias(column) for column, key in zip(by, keys)],
+        *[_interpolated(name, point) for name, point in fractions.items()],
+        mean_money("_total", "_rows").alias("mean"),
     )
 
 
