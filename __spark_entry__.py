@@ -221,6 +221,16 @@ def _export_marts(spark: SparkSession, path: str) -> DataFrame:
     return _row_counts({name: spark.read.parquet(f"{root}/{name}") for name in names}, "mart")
 
 
+def _export_dashboard(spark: SparkSession, path: str) -> DataFrame:
+    root = scratch_path(spark, "panels")
+    names = files.export_dashboard(
+        testbed.claims(spark, path, [*_EXPORT, "service_month", "patient_oop"]),
+        testbed.patients(spark, path),
+        root,
+    )
+    return _row_counts({name: spark.read.parquet(f"{root}/{name}") for name in names}, "panel")
+
+
 def _store_claims(spark: SparkSession, path: str) -> DataFrame:
     target = scratch_path(spark, "claims")
     files.store_claims(testbed.claims(spark, path), target)
@@ -281,14 +291,6 @@ def queries() -> dict[str, Query]:
     diagnosis = ["diagnosis_code", "diagnosis_desc"]
     identity = ["patient_id", "service_date", "diagnosis_code", "procedure_code"]
     return {
-        # sources and sinks
-        "read_tables": _read_tables,
-        "register_tables": _register_tables,
-        "coerce_schema": _coerce_schema,
-        "store_claims": _store_claims,
-        "write_qc_report": _write_qc_report,
-        "export_marts": _export_marts,
-        "write_datasets": _write_datasets,
         # enrichment
         "enrich_calendar": _chosen(
             "claim_id", "service_date", enricher=enrich.enrich_calendar,
@@ -446,6 +448,15 @@ def queries() -> dict[str, Query]:
         ),
         "mart_quality_metrics": _on_claims(marts.mart_quality_metrics, *_QUALITY),
         "mart_patient_level": _PATIENT_MART,
+        # sources and sinks
+        "read_tables": _read_tables,
+        "register_tables": _register_tables,
+        "coerce_schema": _coerce_schema,
+        "store_claims": _store_claims,
+        "write_qc_report": _write_qc_report,
+        "export_marts": _export_marts,
+        "export_dashboard": _export_dashboard,
+        "write_datasets": _write_datasets,
     }
 
 

@@ -322,6 +322,42 @@ UNION ALL SELECT 'payer_analysis', count(*) FROM payers
 UNION ALL SELECT 'readmissions', count(*) FROM stays
 UNION ALL SELECT 'quality_metrics', count(*) FROM quality
 UNION ALL SELECT 'patient_level', count(*) FROM patient_mart"""
+_PANEL_ROWS = {
+    "kpi_summary": "SELECT 1",
+    "kpi_monthly_spend": "SELECT DISTINCT service_year, service_month FROM claims",
+    "regional_cost": "SELECT DISTINCT region FROM claims",
+    "readmission_by_region": f"SELECT DISTINCT region FROM claims WHERE {_IN_HOSPITAL}",
+    "readmission_by_diagnosis": (
+        f"SELECT diagnosis_desc FROM claims WHERE {_IN_HOSPITAL} GROUP BY diagnosis_desc"
+        " HAVING count(*) >= 10 LIMIT 8"
+    ),
+    "readmission_by_year": f"SELECT DISTINCT service_year FROM claims WHERE {_IN_HOSPITAL}",
+    "payer_mix": "SELECT DISTINCT payer FROM claims",
+    "utilization_heatmap": "SELECT DISTINCT facility_type FROM claims",
+    "cost_trend": "SELECT DISTINCT service_year, service_month FROM claims",
+    "cost_trend_regional": "SELECT DISTINCT region, service_year FROM claims",
+    "denial_rates": "SELECT DISTINCT payer FROM claims",
+    "quality_stay_length": "SELECT DISTINCT region FROM quality",
+    "quality_er_visits": "SELECT DISTINCT region FROM quality",
+    "demographics_age": (
+        "SELECT DISTINCT band FROM (SELECT {band} AS band FROM patients"
+        " WHERE patient_id IN (SELECT patient_id FROM claims)) WHERE band IS NOT NULL"
+    ),
+    "demographics_chronic": (
+        "SELECT DISTINCT chronic_conditions FROM patients"
+        " WHERE patient_id IN (SELECT patient_id FROM claims)"
+    ),
+    "demographics_gender": "SELECT DISTINCT gender FROM patients",
+}
+
+
+def _panel_rows() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS panel, count(*) AS rows FROM ({query.format(band=_age_band())})"
+        for name, query in _PANEL_ROWS.items()
+    )
+
+
 _PATIENT_SUMMARY = f"""
 SELECT {_TRAITS}, count(claim_id) AS total_claims, {_total('cost_c')} AS total_cost,
        {_mean_of('cost_c')} AS avg_cost_per_claim, {_total('oop_c')} AS total_oop,
@@ -404,6 +440,7 @@ def statements() -> dict[str, str]:
         "export_marts": (
             _with(_SUMMARY, _REGIONAL, _PAYER, _STAYS, _QUALITY, _PATIENT_MART) + _MART_ROWS
         ),
+        "export_dashboard": _quality(_panel_rows()),
         "write_datasets": _quality(_TABLE_ROWS),
         # enrichment
         "enrich_calendar": _claims(

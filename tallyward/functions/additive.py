@@ -1,8 +1,8 @@
 """Additive building blocks that all reports are computed from.
 
-Each block can be merged by a plain sum (or min/max), so a report can start from
-raw claims or from an already grouped frame, and rounding happens only when a
-report is presented.
+Each block can be merged by a plain sum (or min/max), so every report that groups
+claims can start from raw claims or from an already grouped frame, and rounding
+happens only when a report is presented.
 """
 
 from __future__ import annotations
@@ -44,13 +44,14 @@ _MERGE = {"min_cents": F.min, "max_cents": F.max, "last_service_date": F.max}
 COST = ["claims", "cost_cents", "cost_rows"]
 
 
-def rollup(claims: DataFrame, by: Sequence[str], blocks: Sequence[str]) -> DataFrame:
-    """Group raw claims by `by` and compute the named blocks."""
-    return claims.groupBy(*by).agg(*[BLOCKS[name]().alias(name) for name in blocks])
+def rollup(frame: DataFrame, by: Sequence[str], blocks: Sequence[str]) -> DataFrame:
+    """Group by `by` and compute the named blocks.
 
-
-def merge(grouped: DataFrame, by: Sequence[str], blocks: Sequence[str]) -> DataFrame:
-    """Group an already rolled-up frame more coarsely."""
-    return grouped.groupBy(*by).agg(
-        *[_MERGE.get(name, F.sum)(name).alias(name) for name in blocks]
-    )
+    `frame` holds raw claims, or an earlier roll-up that kept the columns of `by`
+    and these blocks; the latter is merged instead of recomputed.
+    """
+    if set(blocks) <= set(frame.columns):
+        measures = [_MERGE.get(name, F.sum)(name).alias(name) for name in blocks]
+    else:
+        measures = [BLOCKS[name]().alias(name) for name in blocks]
+    return frame.groupBy(*by).agg(*measures)

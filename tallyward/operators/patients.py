@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyward.functions.additive import merge, rollup
+from tallyward.functions.additive import rollup
 from tallyward.functions.money import cents, exact_mean_money, from_cents, mean_money
 from tallyward.functions.shares import share_of_all
 from tallyward.schemas import AGE_BANDS
@@ -66,7 +66,7 @@ def cost_by_age_group(claims: DataFrame, patients: DataFrame) -> DataFrame:
     aged = patients.select("patient_id", age_band(F.col("age")).alias("age_group"))
     grouped = _attach(claims, aged.filter("age_group IS NOT NULL"), _COST, "inner")
     return (
-        merge(grouped, ["age_group"], _COST)
+        rollup(grouped, ["age_group"], _COST)
         .select("age_group", exact_mean_money("cost_cents", "cost_rows").alias("avg_cost"))
         .orderBy("age_group")
     )
@@ -76,7 +76,7 @@ def cost_by_chronic(claims: DataFrame, patients: DataFrame) -> DataFrame:
     """Mean claim cost by number of chronic conditions."""
     grouped = _attach(claims, patients.select("patient_id", "chronic_conditions"), _COST, "inner")
     return (
-        merge(grouped, ["chronic_conditions"], _COST)
+        rollup(grouped, ["chronic_conditions"], _COST)
         .select("chronic_conditions", exact_mean_money("cost_cents", "cost_rows").alias("avg_cost"))
         .orderBy("chronic_conditions")
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyward.functions.additive import COST, merge, rollup
+from tallyward.functions.additive import COST, rollup
 from tallyward.functions.money import mean_money, percent
 from tallyward.schemas import HOSPITAL
 
@@ -73,7 +73,7 @@ def readmit_by_chronic(claims: DataFrame, patients: DataFrame) -> DataFrame:
     blocks = [*COST, "claim_ids", "readmissions"]
     per_patient = rollup(_hospital(claims), ["patient_id"], blocks)
     return (
-        merge(
+        rollup(
             per_patient.join(patients.select("patient_id", "chronic_conditions"), "patient_id"),
             ["chronic_conditions"],
             blocks,

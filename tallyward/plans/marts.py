@@ -1,7 +1,8 @@
 """The six export marts.
 
-Five of them are roll-ups of claims by a few categories.  Each can be computed
-straight from claims, or all together from one cube that scans claims once.
+Five of them are roll-ups of claims by a few categories, the sixth is one row per
+patient.  Each takes raw claims, or a cube in their place: one cube by category
+and one by patient serve everything, so claims are scanned twice in all.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyward.functions.additive import COST, merge, rollup
+from tallyward.functions.additive import COST, rollup
 from tallyward.functions.money import from_cents, mean_money, percent
 from tallyward.operators.patients import patient_level
 from tallyward.plans import quality_metrics as quality
@@ -39,15 +40,24 @@ _ADDITIVE = {
     "readmissions": ("readmissions", F.col),
 }
 
-_CUBE_BLOCKS = list(dict.fromkeys([*SUMMARY_BLOCKS, *PAYER_BLOCKS, *quality.BLOCKS]))
+MART_BLOCKS = list(dict.fromkeys([*SUMMARY_BLOCKS, *PAYER_BLOCKS, *quality.BLOCKS]))
 
 
-def claims_cube(claims: DataFrame) -> DataFrame:
-    """All blocks at the grain of the claims summary.
+def claims_cube(
+    claims: DataFrame,
+    keys: Sequence[str] = SUMMARY_KEYS,
+    blocks: Sequence[str] = MART_BLOCKS,
+) -> DataFrame:
+    """The blocks of all category marts at the grain of `keys`.
 
     Its size is bounded by the number of category combinations, not by claims.
     """
-    return rollup(claims, SUMMARY_KEYS, _CUBE_BLOCKS)
+    return rollup(claims, keys, blocks)
+
+
+def patient_cube(claims: DataFrame) -> DataFrame:
+    """The blocks behind the patient mart and the demographic reports."""
+    return rollup(claims, ["patient_id"], ["claim_ids", "cost_cents", "cost_rows", "readmissions"])
 
 
 def _present_summary(blocks: DataFrame) -> DataFrame:
@@ -129,13 +139,13 @@ def mart_patient_level(claims: DataFrame, patients: DataFrame) -> DataFrame:
     return patient_level(claims, patients)
 
 
-def marts_from_cube(cube: DataFrame) -> dict[str, DataFrame]:
-    """The five category marts, each a second roll-up of the cube."""
-    stays = cube.filter(F.col("facility_type") == HOSPITAL)
+def all_marts(cube: DataFrame, per_patient: DataFrame, patients: DataFrame) -> dict[str, DataFrame]:
+    """The six marts from the two cubes."""
     return {
-        "claims_summary": _present_summary(cube),
-        "regional_cost": _present_regional(merge(cube, REGIONAL_KEYS, COST)),
-        "payer_analysis": _present_payer(merge(cube, PAYER_KEYS, PAYER_BLOCKS)),
-        "readmissions": _present_readmissions(merge(stays, READMISSION_KEYS, READMISSION_BLOCKS)),
-        "quality_metrics": quality.present(merge(cube, REGIONAL_KEYS, quality.BLOCKS)),
+        "claims_summary": mart_claims_summary(cube),
+        "regional_cost": mart_regional_cost(cube),
+        "payer_analysis": mart_payer_analysis(cube),
+        "readmissions": mart_readmissions(cube),
+        "quality_metrics": mart_quality_metrics(cube),
+        "patient_level": mart_patient_level(per_patient, patients),
     }

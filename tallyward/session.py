@@ -18,6 +18,9 @@ def build_session(app_name: str, cores: int | str = "*") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column expression doubles the time it
+        # takes to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tallyward.operators.patients import patient_level
-from tallyward.plans.marts import claims_cube, marts_from_cube
+from tallyward.plans.dashboard import PANEL_BLOCKS, PANEL_KEYS, dashboard
+from tallyward.plans.marts import all_marts, claims_cube, patient_cube
 from tallyward.session import materialize
 
 
@@ -22,8 +22,7 @@ def write_qc_report(report: DataFrame, path: str) -> None:
 
 def write_datasets(tables: Mapping[str, DataFrame], root: str) -> None:
     """Write every table as CSV with a header below `root`."""
-    for name, frame in tables.items():
-        write_csv(frame, f"{root}/{name}")
+    write_all(tables, root, csv=True)
 
 
 def store_claims(claims: DataFrame, path: str) -> None:
@@ -37,19 +36,30 @@ def store_claims(claims: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
-def export_marts(
-    claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
-) -> list[str]:
-    """Write all six marts below `root` and return their names.
-
-    Claims are scanned twice: once for the cube behind five marts, once for the
-    patients.
-    """
-    marts = marts_from_cube(materialize(claims_cube(claims)))
-    marts["patient_level"] = patient_level(claims, patients)
-    for name, frame in marts.items():
+def write_all(frames: Mapping[str, DataFrame], root: str, csv: bool = False) -> None:
+    """Replace one parquet (or CSV) table per frame below `root`."""
+    for name, frame in frames.items():
         if csv:
             write_csv(frame, f"{root}/{name}")
         else:
             frame.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def export_marts(
+    claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
+) -> list[str]:
+    """Write all six marts below `root` and return their names."""
+    cube = materialize(claims_cube(claims))
+    marts = all_marts(cube, patient_cube(claims), patients)
+    write_all(marts, root, csv)
     return list(marts)
+
+
+def export_dashboard(
+    claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
+) -> list[str]:
+    """Write the data of all dashboard panels below `root` and return their names."""
+    cube = materialize(claims_cube(claims, PANEL_KEYS, PANEL_BLOCKS))
+    panels = dashboard(cube, materialize(patient_cube(claims)), patients)
+    write_all(panels, root, csv)
+    return list(panels)

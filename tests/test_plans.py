@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tallyward.operators import cost, quality, ranking, slicing, utilization
-from tallyward.plans import marts, measures
+from tallyward.plans import dashboard, marts, measures
 from tallyward.schemas import CLAIMS, PATIENTS
 from tallyward.sinks import files
 from tallyward.sources import testbed
 
 EAGER = {  # write files or numbered rows while they are built
-    "read_tables", "write_datasets", "write_qc_report", "export_marts", "store_claims",
+    "read_tables", "write_datasets", "write_qc_report", "export_marts", "export_dashboard",
+    "store_claims",
     "patient_ntile", "high_cost_cohort", "cost_percentiles",
 }
 
@@ -120,20 +121,26 @@ def test_summary_grain_does_not_change_sums(stored):
         assert measure(full).collect() == measure(coarse).collect()
 
 
-def test_marts_from_cube_equal_direct_marts(stored):
-    claims, _ = stored
-    cubed = marts.marts_from_cube(marts.claims_cube(claims))
-    direct = {
-        "claims_summary": marts.mart_claims_summary(claims),
-        "regional_cost": marts.mart_regional_cost(claims),
-        "payer_analysis": marts.mart_payer_analysis(claims),
-        "readmissions": marts.mart_readmissions(claims),
-        "quality_metrics": marts.mart_quality_metrics(claims),
-    }
-    assert set(cubed) == set(direct)
-    for name, expected in direct.items():
-        assert cubed[name].dtypes == expected.dtypes
-        assert cubed[name].exceptAll(expected).isEmpty() and expected.exceptAll(cubed[name]).isEmpty()
+def _same(one, other):
+    assert one.dtypes == other.dtypes
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_cubes_serve_marts_and_panels_like_raw_claims(stored):
+    claims, patients = stored
+    by_patient = marts.patient_cube(claims)
+    for build, cube in (
+        (marts.all_marts, marts.claims_cube(claims)),
+        (
+            dashboard.dashboard,
+            marts.claims_cube(claims, dashboard.PANEL_KEYS, dashboard.PANEL_BLOCKS),
+        ),
+    ):
+        direct = build(claims, claims, patients)
+        cubed = build(cube, by_patient, patients)
+        assert set(cubed) == set(direct)
+        for name, expected in direct.items():
+            _same(cubed[name], expected)
 
 
 def test_keys_of_the_test_tables_are_unique(spark, sf_dir):
