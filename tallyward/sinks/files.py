@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tallyward.plans.dashboard import PANEL_BLOCKS, PANEL_KEYS, dashboard
@@ -11,6 +13,9 @@ from tallyward.plans.marts import all_marts, claims_cube, patient_cube
 from tallyward.session import materialize
 
 
+_PARALLEL_WRITES = 4
+
+
 def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 
@@ -37,13 +42,23 @@ def store_claims(claims: DataFrame, path: str) -> None:
 
 
 def write_all(frames: Mapping[str, DataFrame], root: str, csv: bool = False) -> None:
-    """Replace one parquet (or CSV) table per frame below `root`."""
-    for name, frame in frames.items():
+    """Replace one parquet (or CSV) table per frame below `root`.
+
+    The writes do not depend on each other, and most are far too small to fill a
+    cluster, so a few of them run at a time.
+    """
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, frame = item
         if csv:
             write_csv(frame, f"{root}/{name}")
         else:
             frame.write.mode("overwrite").parquet(f"{root}/{name}")
 
+    session = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(_PARALLEL_WRITES) as pool:
+        list(pool.map(inheritable_thread_target(session)(write), frames.items()))
+
 
 def export_marts(
     claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
