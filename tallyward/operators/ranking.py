@@ -14,6 +14,10 @@ from tallyward.functions.additive import rollup
 from tallyward.functions.money import from_cents, percent, quotient
 from tallyward.session import materialize
 
+# Fixed value: the label of the cohort row.
+COHORT = "Top 5% high-cost patients"
+# End of fixed values.
+
 # monotonically_increasing_id puts the partition above the low 33 bits.
 _ROW_BITS = 33
 
@@ -78,9 +82,7 @@ def patient_ntile(claims: DataFrame, tiles: int = 20) -> DataFrame:
     )
 
 
-def high_cost_cohort(
-    claims: DataFrame, tiles: int = 20, label: str = "Top 5% high-cost patients"
-) -> DataFrame:
+def high_cost_cohort(claims: DataFrame, tiles: int = 20, label: str = COHORT) -> DataFrame:
     """Size, spend and share of all spend of the most expensive tile."""
     tiled = _tiled_patients(claims, tiles)
     # Every claim belongs to exactly one patient total, so the total over all

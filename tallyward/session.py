@@ -22,6 +22,8 @@ def build_session(app_name: str, cores: int | str = "*") -> SparkSession:
         # takes to build a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Checkpoints go once nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
