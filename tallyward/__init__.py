@@ -1,4 +1,4 @@
-"""Healthcare-claims analytics as plain Spark DataFrame functions.
+"""Medical-claims reporting as plain Spark DataFrame functions.
 
 Operators take DataFrames and parameters and return DataFrames; nothing is
 executed until the caller acts on the result.  The one exception is the global
