@@ -34,6 +34,12 @@ from tallyward.session import scratch_path  # noqa: E402
 from tallyward.sinks import files  # noqa: E402
 from tallyward.sources import faults, tables, testbed  # noqa: E402
 
+try:  # the package for training data may be left out
+    import corpus_pipeline  # noqa: E402
+    from tallyward.llm import queries as training_data  # noqa: E402
+except ImportError:
+    corpus_pipeline = training_data = None
+
 AS_OF = date(2001, 6, 1)
 YEARS = list(range(1995, 2002))
 SELECTION = {
@@ -290,7 +296,7 @@ def queries() -> dict[str, Query]:
     stay = ["facility_type", "readmission_30d"]
     diagnosis = ["diagnosis_code", "diagnosis_desc"]
     identity = ["patient_id", "service_date", "diagnosis_code", "procedure_code"]
-    return {
+    found = {
         # enrichment
         "enrich_calendar": _chosen(
             "claim_id", "service_date", enricher=enrich.enrich_calendar,
@@ -458,8 +464,14 @@ def queries() -> dict[str, Query]:
         "export_dashboard": _export_dashboard,
         "write_datasets": _write_datasets,
     }
+    if training_data is not None:
+        found |= training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """The equivalent SQL over the raw tables for each query."""
-    return statements()
+    """The equivalent SQL over the raw tables for each query that SQL can express."""
+    found = statements()
+    if training_data is not None:
+        found |= training_data.ORACLE_SQL
+    return found
