@@ -51,6 +51,10 @@ class ByteBpe:
         self.known.update(dict.fromkeys(new))
         self.known.update(zip(good, self._encode([" " + word for word in good]), strict=True))
 
+    def encode_each(self, texts: list[str]) -> list[bytes]:
+        """Like `encode` for short texts that hardly repeat: none is remembered."""
+        return self._encode(texts)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         found: list[bytes] = []

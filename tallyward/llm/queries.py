@@ -12,6 +12,7 @@ from tallyward.llm import (
     chat_format,
     decontaminate,
     html_extract,
+    lm_score,
     pii_crf,
     quality_rules,
     simhash_dedup,
@@ -44,6 +45,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.unionByName(hostile)))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find_personal_data(read(spark, sf_dir, "documents"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_decontaminate,
         op2_chat_format,
+        op3_lm_score,
         op4_personal_data,
         op5_token_files,
         op6_html_extract,

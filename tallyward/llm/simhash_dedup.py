@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyward.llm.common import map_batches, texts_of
 from tallyward.session import materialize
@@ -347,9 +347,9 @@ def keep_one(
     kept, fp = "simhash kept id", "simhash fingerprint"
 
     at = docs.columns.index(text_col)
-    schema = docs.schema.add(fp, "long") if fp not in docs.columns else None
-    if schema is None:
+    if fp in docs.columns:
         raise ValueError(f"a column is named {fp!r}")
+    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(text, shingle) for text in texts_of(batch.column(at))], np.uint64)
