@@ -11,10 +11,12 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 from tallyward.llm.common import by_bytes, cut
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 _CALL_BYTES = 1 << 18
 _WORD = re.compile(r"(?<=\S) (?=\S)")
 
@@ -29,6 +31,11 @@ class ByteBpe:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes | None] = {}
+        # Every character of a byte-level token stands for one byte.
+        self._bytes = np.zeros(self.size, np.int64)
+        for token, at in self.tokenizer.get_vocab().items():
+            self._bytes[at] = len(token)
+        self._marks = {mark: self._encode([mark])[0] for mark in ".,"}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -37,6 +44,45 @@ class ByteBpe:
                 found.append(array("I", each.ids).tobytes())
         return found
 
+    def _encode_joined(self, words: list[str]) -> list[bytes]:
+        """The ids of words, each with a space before it, by few calls of the library.
+
+        Words without white space at their ends do not affect each other; the ids are
+        dealt out by their bytes.
+        """
+        found: list[bytes] = []
+        for start, end in by_bytes(words, 1 << 15):
+            some = words[start:end]
+            text = " " + " ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(word.encode()) + 1 for word in some])
+            places = np.cumsum(self._bytes[ids])
+            cuts = np.searchsorted(places, ends) + 1
+            data = ids.tobytes()
+            spans = [0, *(4 * cuts).tolist()]
+            found += [data[a:b] for a, b in zip(spans, spans[1:], strict=False)]
+        return found
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words, each with a space before it; none is remembered.
+
+        A mark after letters is a piece of its own, so a word is encoded once with and
+        without it.
+        """
+        odd = [word for word in words if not word or word[0].isspace() or word[-1].isspace()]
+        if odd:
+            own = dict(zip(odd, self._encode([" " + word for word in odd]), strict=True))
+        stems = [word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word for word in words]
+        plain = list(dict.fromkeys(stems).keys() - dict.fromkeys(odd))
+        ids = dict(zip(plain, self._encode_joined(plain), strict=True))
+        if odd:
+            ids |= own
+        marks = self._marks
+        return [
+            ids[stem] if stem is word or stem == word else ids[stem] + marks[word[-1]]
+            for word, stem in zip(words, stems, strict=True)
+        ]
+
     def learn(self, words: set[str]) -> None:
         """Remember the ids of the words, each with a space before it.
 
@@ -48,12 +94,9 @@ class ByteBpe:
             self.known.clear()
             new = list(words)
         good = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
-        self.known.update(dict.fromkeys(new))
-        self.known.update(zip(good, self._encode([" " + word for word in good]), strict=True))
-
-    def encode_each(self, texts: list[str]) -> list[bytes]:
-        """Like `encode` for short texts that hardly repeat: none is remembered."""
-        return self._encode(texts)
+        if len(good) < len(new):
+            self.known.update(dict.fromkeys(new))
+        self.known.update(zip(good, self.encode_words(good), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -67,13 +110,15 @@ class ByteBpe:
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         words = [text.split(" ") for text in texts]
-        heads = self._encode([each[0] for each in words])
-        self.learn(set().union(*[each[1:] for each in words]))
-        lookup = self.known.__getitem__
+        heads = self._encode([each.pop(0) for each in words])
+        own = set().union(*words)
+        self.learn(own)
+        known = self.known
+        lookup = {word: known[word] for word in own}.__getitem__  # small, so near at hand
         found = []
         for text, head, each in zip(texts, heads, words, strict=True):
             try:
-                found.append(head + b"".join(map(lookup, each[1:])))
+                found.append(head + b"".join(map(lookup, each)))
             except TypeError:  # a word with white space at an end
                 found.append(self._irregular(text))
         return found
