@@ -17,10 +17,17 @@ from tallyward.llm.common import by_bytes, cut
 
 #: Distinct words whose ids a worker remembers.
 REMEMBERED = 1_200_000
+#: Characters of texts taken at a time.
+BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
 _WORD = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _is_odd(word: str) -> bool:
+    """Whether a word is empty or has white space at an end."""
+    return not word or word.strip() != word
+
+
 class ByteBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,7 +37,7 @@ class ByteBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
         # Every character of a byte-level token stands for one byte.
         self._bytes = np.zeros(self.size, np.int64)
         for token, at in self.tokenizer.get_vocab().items():
@@ -69,39 +76,46 @@ class ByteBpe:
         A mark after letters is a piece of its own, so a word is encoded once with and
         without it.
         """
-        odd = [word for word in words if not word or word[0].isspace() or word[-1].isspace()]
+        odd = [word for word in words if _is_odd(word)]
         if odd:
             own = dict(zip(odd, self._encode([" " + word for word in odd]), strict=True))
+            regular = [word for word in words if word not in own]
+            own |= zip(regular, self._encode_regular(regular), strict=True)
+            return [own[word] for word in words]
+        return self._encode_regular(words)
+
+    def _encode_regular(self, words: list[str]) -> list[bytes]:
         stems = [word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word for word in words]
-        plain = list(dict.fromkeys(stems).keys() - dict.fromkeys(odd))
+        plain = list(dict.fromkeys(stems))
         ids = dict(zip(plain, self._encode_joined(plain), strict=True))
-        if odd:
-            ids |= own
         marks = self._marks
         return [
             ids[stem] if stem is word or stem == word else ids[stem] + marks[word[-1]]
             for word, stem in zip(words, stems, strict=True)
         ]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of the words, each with a space before it.
+    def table(self, words: set[str]) -> dict[str, bytes | None]:
+        """The ids of the words, each with a space before it, from memory or encoded.
 
-        A word that is empty or has white space at an end gets None: there the space
+        A word that is empty or has white space at an end has None: there the space
         does not begin a piece.
         """
-        new = [word for word in words if word not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(words)
-        good = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
-        if len(good) < len(new):
-            self.known.update(dict.fromkeys(new))
-        self.known.update(zip(good, self.encode_words(good), strict=True))
+        own = list(words)
+        ids = list(map(self.known.get, own))
+        table = dict(zip(own, ids, strict=True))
+        new = [word for word, each in zip(own, ids, strict=True) if each is None and not _is_odd(word)]
+        if new:
+            fresh = dict(zip(new, self._encode_regular(new), strict=True))
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known.clear()
+            self.known |= fresh
+            table |= fresh
+        return table
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         found: list[bytes] = []
-        for start, end in by_bytes(texts):
+        for start, end in by_bytes(texts, BATCH_BYTES):
             if end - start == 1:
                 found.append(b"".join(self._batch([piece])[0] for piece in cut(texts[start])))
             else:
@@ -111,10 +125,7 @@ class ByteBpe:
     def _batch(self, texts: list[str]) -> list[bytes]:
         words = [text.split(" ") for text in texts]
         heads = self._encode([each.pop(0) for each in words])
-        own = set().union(*words)
-        self.learn(own)
-        known = self.known
-        lookup = {word: known[word] for word in own}.__getitem__  # small, so near at hand
+        lookup = self.table(set().union(*words)).__getitem__
         found = []
         for text, head, each in zip(texts, heads, words, strict=True):
             try:
@@ -127,12 +138,9 @@ class ByteBpe:
         """Split only where a space does begin a piece."""
         first, *middle = _WORD.split(text)
         last = middle.pop() if middle else None
-        missing = [word for word in dict.fromkeys(middle) if word not in self.known]
-        ends = [first] if last is None else [first, " " + last]
-        ids = self._encode(ends + [" " + word for word in missing])
-        own = dict(zip(missing, ids[len(ends) :], strict=True))
-        parts = [own[word] if word in own else self.known[word] for word in middle]
-        return b"".join([ids[0], *parts, *ids[1 : len(ends)]])
+        ends = self._encode([first] if last is None else [first, " " + last])
+        lookup = self.table(set(middle)).__getitem__
+        return b"".join([ends[0], *map(lookup, middle), *ends[1:]])
 
 
 _ENCODERS: dict[str, ByteBpe] = {}
