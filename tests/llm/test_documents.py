@@ -1,0 +1,245 @@
+"""Quality rules, personal data, SimHash, decontamination and scores against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+
+from tallyward.llm import decontaminate, lm_score, pii_crf, quality_rules, simhash_dedup
+from tallyward.llm.attention_model import CLASSES, END_CLASS, STARTS, Attention
+from tallyward.llm.pii_tables import sentences
+from tests.llm.conftest import DOCS
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_quality_rules(table, docs, none):
+    def base(text):
+        text = text or ""
+        words = WORDS.findall(text)
+        windows = Counter(zip(words, words[1:], words[2:], strict=False))
+        covered = set()
+        for at in range(len(words) - 2):
+            if windows[tuple(words[at : at + 3])] > 1:
+                covered |= {at, at + 1, at + 2}
+        lines = [line for line in text.split("\n") if WORDS.search(line)]
+        repeats = len(covered)
+        failed = len(words) < 50 or 100 * repeats > 50 * len(words)
+        return (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            len(lines) - len(set(lines)), repeats, failed,
+        )
+
+    for frame in (table("documents"), docs):
+        texts = Counter((row["doc_id"], *base(row["text"])) for row in frame.collect())
+        rows = quality_rules.quality_rules(frame).collect()
+        assert Counter(tuple(row)[:7] for row in rows) == texts
+        assert not any(row["kept"] and row["base_failed"] for row in rows)
+        kept = quality_rules.keep_good(frame)
+        assert kept.columns == frame.columns
+        assert kept.count() == sum(row["kept"] for row in rows)
+    assert quality_rules.quality_rules(none).count() == 0
+
+
+def test_quality_bands():
+    dice = random.Random(1)
+    sounds = "the of an er in tion es re st ing ou ly nd ble at".split()
+    prose = " ".join("".join(dice.choices(sounds, k=dice.randint(1, 3))) for _ in range(400))
+    assert quality_rules.judge(prose)[6]
+    noise = " ".join("".join(chr(dice.randrange(33, 0x2FA0)) for _ in range(8)) for _ in range(300))
+    assert not quality_rules.judge(noise)[5] and not quality_rules.judge(noise)[6]
+    monotone = " ".join(f"aaaaaaaaaaaaaaaaaaaaaaaa{n}" for n in range(300))
+    assert not quality_rules.judge(monotone)[5] and not quality_rules.judge(monotone)[6]
+
+
+def brute_spans(text):
+    spans = [(*m.span(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            spans.append((*m.span(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[ -]", "", m[0])
+        doubled = [int(d) if at % 2 == 0 else sum(divmod(2 * int(d), 10)) for at, d in enumerate(digits[::-1])]
+        if 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+            spans.append((*m.span(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append((*m.span(), "phone"))
+    return pii_crf.ordered(spans)
+
+
+def test_personal_data_patterns(table, docs, none):
+    dice = random.Random(5)
+    parts = [*"0123456789 -.@+()ab\n,", "4111111111111111", "1.2.3.4", "a@b.c", "+1 (555) 555-5555"]
+    texts = ["".join(dice.choices(parts, k=dice.randint(0, 60))) for _ in range(4000)]
+    for text, (base, every) in zip(texts, pii_crf.find_spans(texts), strict=True):
+        assert base == brute_spans(text)
+        assert set(base) <= set(every)
+    for frame in (table("documents"), docs):
+        wanted = Counter(
+            (row["doc_id"], hashlib.sha256(pii_crf.as_text(brute_spans(row["text"] or "")).encode()).hexdigest())
+            for row in frame.collect()
+        )
+        rows = pii_crf.find_personal_data(frame).collect()
+        assert Counter((row["doc_id"], row["base_sha256"]) for row in rows) == wanted
+    assert pii_crf.find_personal_data(none).count() == 0
+    masked = {row["doc_id"]: row["text"] for row in pii_crf.mask_personal_data(docs).collect()}
+    assert masked[None] == "[EMAIL] wrote [PHONE]" and masked[3] is None
+
+
+def test_field_is_accurate_on_held_out_sentences():
+    held = sentences(seed=7)
+    found = pii_crf.model().decode([[word for word, _ in row] for row in held])
+    pairs = [(pii_crf.LABELS[x], label) for row, each in zip(held, found, strict=True)
+             for (_, label), x in zip(row, each, strict=True)]
+    assert np.mean([a == b for a, b in pairs]) > 0.98
+    clean = ["A plain sentence with 12 words and 3 numbers, 2007.", "no digits at all", ""]
+    assert all(not every for _, every in pii_crf.find_spans(clean))
+
+
+def brute_components(codes, radius=3):
+    parent = list(range(len(codes)))
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a in range(len(codes)):
+        for b in range(a):
+            if (codes[a] ^ codes[b]).bit_count() <= radius:
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(a) for a in range(len(codes))]
+
+
+def test_fingerprints_and_components(spark, table, docs, none):
+    def brute(text):
+        words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if not words:
+            return 0
+        shingles = [" ".join(words[a : a + 3]) for a in range(max(1, len(words) - 2))]
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+    some = [row for row in docs.collect() if len(row["text"] or "") < 1000]
+    assert all(simhash_dedup.fingerprint(row["text"] or "") == brute(row["text"]) for row in some)
+    for frame, group in ((table("documents"), 50_000), (table("documents"), 4), (docs, 1)):
+        rows = simhash_dedup.near_duplicates(frame, group=group).collect()
+        codes = [int(row["fingerprint"], 16) for row in rows]
+        roots = brute_components(codes)
+        least = {}
+        for root, row in zip(roots, rows, strict=True):
+            if row["doc_id"] is not None:
+                least[root] = min(least.get(root, row["doc_id"]), row["doc_id"])
+        assert [row["component_id"] for row in rows] == [least.get(root) for root in roots]
+        kept = simhash_dedup.keep_one(frame)
+        assert kept.columns == frame.columns
+        assert kept.count() == len(set(roots))
+    assert simhash_dedup.near_duplicates(none).count() == simhash_dedup.keep_one(none).count() == 0
+
+
+@pytest.mark.parametrize("spread", [3, 10, 40])
+def test_index_links_what_pairs_would(spread):
+    dice = random.Random(spread)
+    centres = [dice.getrandbits(64) for _ in range(12)]
+    codes = set()
+    while len(codes) < 400:
+        code = dice.choice(centres)
+        for _ in range(dice.randint(0, spread)):
+            code ^= 1 << dice.randrange(64)
+        codes.add(code)
+    codes = list(codes)
+    a, b = simhash_dedup.link_group(np.array(codes, np.uint64))
+    at = {code: n for n, code in enumerate(codes)}
+    labels = simhash_dedup.Labels(len(codes))
+    labels.join(np.array([at[int(x)] for x in a], int), np.array([at[int(x)] for x in b], int))
+    assert labels.of.tolist() == brute_components(codes)
+    assert len(a) < len(codes)
+
+
+def test_decontamination(spark, table, docs, none):
+    items = table("benchmark")
+    rows = decontaminate.contaminated(table("documents"), items).collect()
+    clean = lambda text: b" ".join(decontaminate.words_of(text or ""))
+    texts = {row["doc_id"]: clean(row["text"]) for row in table("documents").collect()}
+    wanted = {(d, row["item_id"]) for row in items.collect() for d, t in texts.items() if clean(row["text"]) in t}
+    assert {(row["doc_id"], row["item_id"]) for row in rows} == wanted
+    sharded = decontaminate.contaminated(table("documents"), items, shard_bytes=2000)
+    assert {(row["doc_id"], row["item_id"]) for row in sharded.collect()} == wanted
+    assert decontaminate.drop_contaminated(table("documents"), items).count() == len(texts) - len({d for d, _ in wanted})
+    odd = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "Five six seven"), (None, "one two three four. Five six seven")], "item_id long, text string"
+    )
+    found = decontaminate.contaminated(docs, odd).collect()
+    assert Counter((row["doc_id"], row["item_id"]) for row in found) == Counter(
+        {(1, 3): 2, (2, 3): 1, (1, None): 2, (2, None): 1}
+    )
+    assert decontaminate.contaminated(none, odd).count() == 0
+    assert decontaminate.contaminated(docs, odd.limit(0)).count() == 0
+    assert decontaminate.drop_contaminated(docs, odd.limit(0)).count() == len(DOCS)
+
+
+def test_wand_finds_all_above_the_threshold():
+    dice = random.Random(2)
+    vocabulary = [f"w{n}" for n in range(120)]
+    rows = [(n, " ".join(dice.choices(vocabulary, k=dice.randint(1, 30)))) for n in range(150)]
+    holders = Counter(word for _, text in rows for word in set(decontaminate.words_of(text)))
+    index = decontaminate.Index.of(rows, decontaminate.Statistics(150, 15.0, holders))
+    for _ in range(400):
+        query = dice.sample(range(len(index.terms)), dice.randint(1, 40))
+        scores = Counter()
+        for term in query:
+            for item, share in zip(index.items[term], index.shares[term], strict=True):
+                scores[item] += share
+        reach = dice.choice((0.2, 0.5))
+        if all(abs(score - reach) > 1e-6 for score in scores.values()):
+            assert {item for item, _ in index.search(query, reach)} == {i for i, s in scores.items() if s >= reach}
+
+
+def test_scores(table, docs, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for frame in (table("documents"), docs):
+        rows = frame.collect()
+        tokens = [[*(row["text"] or "").encode().lower().split(), b""] for row in rows]
+        held = [zlib.crc32(str(row["doc_id"] if row["doc_id"] is not None else "").encode()) % 7 == 2 for row in rows]
+        counts = Counter(word for each, out in zip(tokens, held, strict=True) if not out for word in each)
+        n, v = sum(counts.values()), len(counts)
+        wanted = sorted(
+            (row["doc_id"] or -1, out, len(each), sum(counts[w] > 0 for w in each), n,
+             round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in each), 5))
+            for row, out, each in zip(rows, held, tokens, strict=True)
+        )
+        found = lm_score.score_documents(frame, path).collect()
+        assert wanted == sorted((r["doc_id"] or -1, *tuple(r)[1:5], round(r["base_score"], 5)) for r in found)
+        assert all(row["score"] < 0 and math.isfinite(row["score"]) for row in found)
+    assert lm_score.score_documents(none, path).count() == 0
+
+
+def test_attention_sums_to_one_and_learns():
+    dice = np.random.default_rng(0)
+    stream = np.tile(np.array([1, 70, 2, 80, END_CLASS], np.uint8), 200)
+    net = Attention()
+    lengths = np.full(200, 5)
+    net.train(stream, lengths, rounds=2)
+    own, _ = net.log_probabilities(stream, lengths)
+    assert own.mean() > -0.3
+    # All classes at one place: the probabilities add up to one, of begins to `begin`.
+    text = dice.integers(0, CLASSES, 60).astype(np.uint8)
+    total = begins = 0.0
+    for last in range(CLASSES):
+        text[-1] = last
+        own, begin = net.log_probabilities(text, np.array([60]))
+        total += math.exp(own[-1])
+        begins += math.exp(own[-1]) * (last < STARTS)
+    assert abs(total - 1) < 1e-3 and abs(begins - math.exp(begin[-1])) < 1e-3
+    # Causal: what follows does not matter.
+    before = net.log_probabilities(text, np.array([60]))[0][:30]
+    text[40:] = 3
+    assert np.allclose(before, net.log_probabilities(text, np.array([60]))[0][:30], atol=1e-5)
