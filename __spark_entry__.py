@@ -29,7 +29,7 @@ from tallyward.operators import (  # noqa: E402
     utilization,
 )
 from tallyward.plans import marts, measures, quality_metrics as quality_mart  # noqa: E402
-from tallyward.schemas import CLAIMS, PATIENTS, REGIONS  # noqa: E402
+from tallyward.schemas import CLAIMS  # noqa: E402
 from tallyward.session import scratch_path  # noqa: E402
 from tallyward.sinks import files  # noqa: E402
 from tallyward.sources import faults, tables, testbed  # noqa: E402
@@ -41,7 +41,6 @@ except ImportError:
     corpus_pipeline = training_data = None
 
 AS_OF = date(2001, 6, 1)
-YEARS = list(range(1995, 2002))
 SELECTION = {
     "service_year": [1997, 1998],
     "region": ["Northeast", "West"],
@@ -316,6 +315,7 @@ def queries() -> dict[str, Query]:
         # filters
         "slice_claims": _slice_claims,
         "sliced_kpis": _sliced_kpis,
+        "sliced_quality": _on_quality_mart(slicing.slice_rows, service_year=[1997]),
         # detailed quality checks
         "qc_null_fields": _on_faulty(
             quality.qc_null_fields, "patient_id", "service_date", _COST, "diagnosis_code"
@@ -350,7 +350,10 @@ def queries() -> dict[str, Query]:
             utilization.procedure_utilization, "procedure_code", "procedure_desc", _COST
         ),
         "utilization_matrix": _on_claims(
-            utilization.utilization_matrix, "facility_type", "region", regions=REGIONS
+            utilization.utilization_matrix, "facility_type", "region"
+        ),
+        "utilization_matrix_faulty": _on_faulty(
+            utilization.utilization_matrix, "facility_type", "region"
         ),
         # cost
         "cost_by_payer": _on_claims(cost.cost_by_payer, *paid),
@@ -378,7 +381,7 @@ def queries() -> dict[str, Query]:
             readmission.top_readmit_diagnoses, "diagnosis_desc", *stay
         ),
         "readmit_matrix": _on_claims(
-            readmission.readmit_matrix, "region", "service_year", *stay, years=YEARS
+            readmission.readmit_matrix, "region", "service_year", *stay
         ),
         # denial
         "denial_by_payer": _on_claims(denial.denial_by_payer, "payer", "claim_status"),
@@ -402,8 +405,8 @@ def queries() -> dict[str, Query]:
         ),
         # quality mart
         "quality_metrics": _on_claims(quality_mart.quality_metrics, *_QUALITY),
-        "los_matrix": _on_quality_mart(quality_mart.los_matrix, years=YEARS),
-        "er_matrix": _on_quality_mart(quality_mart.er_matrix, years=YEARS),
+        "los_matrix": _on_quality_mart(quality_mart.los_matrix),
+        "er_matrix": _on_quality_mart(quality_mart.er_matrix),
         "los_by_region": _on_quality_mart(quality_mart.los_by_region),
         # measures
         "exec_kpis": _on_claims(measures.exec_kpis, *stay, _COST, "claim_status"),

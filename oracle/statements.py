@@ -106,7 +106,7 @@ faulty AS (
          CASE WHEN claim_id % 941 = 0 THEN 'Unknown' ELSE region END AS region,
          CASE WHEN claim_id % 937 <> 0 THEN diagnosis_code END AS diagnosis_code,
          CASE WHEN claim_id % 937 <> 0 THEN diagnosis_desc END AS diagnosis_desc,
-         procedure_code, procedure_desc
+         procedure_code, procedure_desc, facility_type
   FROM repeated
 )"""
 
@@ -156,8 +156,6 @@ def _hundredths(column: str) -> str:
 _READMITS = _int("sum(readmission_30d)")
 _DENIED = "count(*) FILTER (WHERE claim_status = 'Denied')"
 _IN_HOSPITAL = "facility_type = 'Hospital'"
-_YEARS = range(1995, 2002)
-_REGIONS = ["Northeast", "Southeast", "Midwest", "West", "Southwest"]
 _TRAITS = "p.patient_id, p.age, p.gender, p.region, p.payer, p.chronic_conditions"
 
 
@@ -288,13 +286,10 @@ def _check(label: str, condition: str) -> str:
     )
 
 
-def _matrix(source: str, row: str, column: str, values, cell: str) -> str:
-    cells = ", ".join(
-        cell.format(test=f"{column} = '{v}'" if isinstance(v, str) else f"{column} = {v}")
-        + f' AS "{v}"'
-        for v in values
-    )
-    return f"SELECT {row}, {cells} FROM {source} GROUP BY {row}"
+def _matrix(source: str, row: str, column: str, cell: str, empty: str = "NULL") -> str:
+    """One column per value of `column` that is present."""
+    cells = f"SELECT {row}, coalesce(CAST({column} AS VARCHAR), 'null') AS c, {cell} AS v FROM {source} GROUP BY {row}, {column}"
+    return f"PIVOT ({cells}) ON c USING coalesce(first(v), {empty}) GROUP BY {row}"
 
 
 _KPIS = f"""
@@ -531,7 +526,10 @@ def statements() -> dict[str, str]:
             FROM claims GROUP BY procedure_code, procedure_desc"""
         ),
         "utilization_matrix": _claims(
-            _matrix("claims", "facility_type", "region", _REGIONS, "count(*) FILTER (WHERE {test})")
+            _matrix("claims", "facility_type", "region", "count(*)", "0")
+        ),
+        "utilization_matrix_faulty": _faulty(
+            _matrix("faulty", "facility_type", "region", "count(*)", "0")
         ),
         # cost
         "cost_by_payer": _claims(
@@ -643,8 +641,8 @@ def statements() -> dict[str, str]:
         ),
         "readmit_matrix": _claims(
             _matrix(
-                f"(SELECT * FROM claims WHERE {_IN_HOSPITAL})", "region", "service_year", _YEARS,
-                _pct("sum(readmission_30d) FILTER (WHERE {test})", "count(*) FILTER (WHERE {test})"),
+                f"(SELECT * FROM claims WHERE {_IN_HOSPITAL})", "region", "service_year",
+                _pct("sum(readmission_30d)", "count(*)"),
             )
         ),
         # denial
@@ -707,13 +705,12 @@ def statements() -> dict[str, str]:
         ),
         # quality mart
         "quality_metrics": _quality("SELECT * FROM quality"),
+        "sliced_quality": _quality("SELECT * FROM quality WHERE year = 1997"),
         "los_matrix": _quality(
-            _matrix("quality", "region", "year", _YEARS,
-                    "coalesce(max(avg_los_hospital) FILTER (WHERE {test}), 0.0::DOUBLE)")
+            _matrix("quality", "region", "year", "max(avg_los_hospital)", "0.0::DOUBLE")
         ),
         "er_matrix": _quality(
-            _matrix("quality", "region", "year", _YEARS,
-                    "coalesce(max(er_visit_rate_pct) FILTER (WHERE {test}), 0.0::DOUBLE)")
+            _matrix("quality", "region", "year", "max(er_visit_rate_pct)", "0.0::DOUBLE")
         ),
         "los_by_region": _quality(
             f"""

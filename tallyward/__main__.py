@@ -3,6 +3,8 @@
     python -m tallyward validate DATA OUTPUT [--as-of DATE]
     python -m tallyward analyze  DATA OUTPUT [--csv]
 
+Both take the report filters: --service-year, --region, --payer, --facility-type.
+
 DATA holds `patients`, `claims` and, optionally, more as CSV with a header (or as
 parquet with --parquet).
 """
@@ -15,6 +17,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from tallyward.operators.quality import qc_report, qc_total_flags
+from tallyward.operators.slicing import SLICERS, slice_rows
 from tallyward.sinks import files
 from tallyward.sources.tables import read_table
 
@@ -27,13 +30,18 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--parquet", action="store_true", help="DATA is parquet, not CSV")
     parser.add_argument("--csv", action="store_true", help="write CSV instead of parquet")
     parser.add_argument("--as-of", type=date.fromisoformat, help="the day that counts as today")
+    for name in SLICERS:
+        kind = int if name == "service_year" else str
+        parser.add_argument(f"--{name.replace('_', '-')}", nargs="+", type=kind, help="keep only these")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("tallyward").getOrCreate()
     kind = "parquet" if options.parquet else "csv"
     claims, patients = (
-        read_table(spark, f"{options.data}/{name}", name, kind) for name in ("claims", "patients")
+        read_table(spark, f"{options.data}/{name}", name, kind, strict=options.job == "validate")
+        for name in ("claims", "patients")
     )
+    claims = slice_rows(claims, **{name: getattr(options, name) for name in SLICERS})
     if options.job == "validate":
         target = f"{options.output}/data_validation_report"
         files.write_qc_report(qc_report(claims, patients, options.as_of), target)
@@ -42,8 +50,9 @@ def main(arguments: list[str] | None = None) -> None:
         written.orderBy("check").show(truncate=False)
         print(f"Total flagged records: {qc_total_flags(written).first().total_flagged:,}")
     else:
-        files.export_dashboard(claims, patients, f"{options.output}/panels", options.csv)
-        files.export_marts(claims, patients, f"{options.output}/marts", options.csv)
+        cubes = files.build_cubes(claims)
+        files.export_dashboard(claims, patients, f"{options.output}/panels", options.csv, cubes)
+        files.export_marts(claims, patients, f"{options.output}/marts", options.csv, cubes)
 
 
 if __name__ == "__main__":

@@ -48,9 +48,13 @@ def rollup(frame: DataFrame, by: Sequence[str], blocks: Sequence[str]) -> DataFr
     """Group by `by` and compute the named blocks.
 
     `frame` holds raw claims, or an earlier roll-up that kept the columns of `by`
-    and these blocks; the latter is merged instead of recomputed.
+    and these blocks; the latter is merged instead of recomputed.  A frame with some
+    blocks but not all of these is neither, and an error.
     """
-    if set(blocks) <= set(frame.columns):
+    held = set(BLOCKS) & set(frame.columns)
+    if held and not set(blocks) <= held:
+        raise ValueError(f"the cube lacks {', '.join(sorted(set(blocks) - held))}")
+    if held:
         measures = [_MERGE.get(name, F.sum)(name).alias(name) for name in blocks]
     else:
         measures = [BLOCKS[name]().alias(name) for name in blocks]

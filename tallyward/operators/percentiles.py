@@ -1,10 +1,9 @@
 """Exact interpolated percentiles without collecting a group in one place.
 
-A first pass counts amounts per bucket of 2^16 cents and finds, for each group,
-the few buckets its percentiles fall in.  A second pass counts the rows of those
-buckets per distinct amount and picks the amounts at the wanted positions.  No
-step sorts more than the buckets of a group or the 2^16 distinct amounts of a
-bucket, and rows are counted before they are brought together.
+Claims are read once, to count the rows of every distinct amount per group; the counts
+are kept.  From them come the buckets of 2^16 cents, the few buckets a group's
+percentiles fall in, and in those the amounts at the wanted positions.  No step sorts
+more than the buckets of a group or the 2^16 distinct amounts of a bucket.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from tallyward.functions.money import cents, mean_money, quotient
 from tallyward.session import materialize
 
 _BUCKET_BITS = 16
-_BROADCAST_ROWS = 100_000
 
 # The percentiles of the regional report.
 REPORT_POINTS = {"p25": "0.25", "median": "0.50", "p75": "0.75", "p90": "0.90"}
@@ -73,11 +71,15 @@ def grouped_percentiles(
         *[F.col(column).alias(key) for column, key in zip(by, keys)], cents(amount).alias("_cents")
     ).withColumn("_bucket", F.shiftright("_cents", _BUCKET_BITS))
 
+    counted = materialize(
+        amounts.groupBy(*keys, "_bucket", "_cents").agg(F.count("_cents").alias("_count"))
+    )
+
     group = Window.partitionBy(*keys)
     up_to = (Window.unboundedPreceding, Window.currentRow)
     buckets = (
-        amounts.groupBy(*keys, "_bucket")
-        .agg(F.count("_cents").alias("_n"), F.sum("_cents").alias("_sum"))
+        counted.groupBy(*keys, "_bucket")
+        .agg(F.sum("_count").alias("_n"), F.sum(F.col("_cents") * F.col("_count")).alias("_sum"))
         .withColumns(
             {
                 "_end": F.sum("_n").over(group.orderBy("_bucket").rowsBetween(*up_to)),
@@ -95,13 +97,8 @@ def grouped_percentiles(
     kept = materialize(buckets.withColumn("_hit", hit).filter("_hit OR _first"))
     targets = kept.filter("_hit").select(*keys, "_bucket", "_start", "_rows")
     bucket = [*keys, "_bucket"]
-    if kept.count() <= _BROADCAST_ROWS:
-        # A few buckets per group: drop all other rows before anything is shuffled.
-        targets = F.broadcast(targets)
-        amounts = _join_on(amounts, targets.select(*bucket), bucket, "left_semi")
 
     in_bucket = Window.partitionBy(*bucket).orderBy("_cents").rowsBetween(*up_to)
-    counted = amounts.groupBy(*bucket, "_cents").agg(F.count(F.lit(1)).alias("_count"))
     placed = (
         _join_on(counted, targets, bucket, "inner")
         .withColumn("_end", F.col("_start") + F.sum("_count").over(in_bucket))

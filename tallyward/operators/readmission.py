@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyward.functions.additive import COST, rollup
+from tallyward.functions.spread import spread
 from tallyward.functions.money import mean_money, percent
 from tallyward.schemas import HOSPITAL
 
@@ -109,8 +110,4 @@ def readmit_matrix(claims: DataFrame, years: Sequence[int] | None = None) -> Dat
     rates = rollup(_hospital(claims), ["region", "service_year"], _RATE).select(
         "region", "service_year", _rate().alias("readmit_pct")
     )
-    return (
-        rates.groupBy("region")
-        .pivot("service_year", list(years) if years is not None else None)
-        .agg(F.first("readmit_pct"))
-    )
+    return spread(rates, "region", "service_year", "readmit_pct", years)

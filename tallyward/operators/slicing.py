@@ -11,16 +11,24 @@ SLICERS = ("service_year", "region", "payer", "facility_type")
 # End of fixed values.
 
 
-def slice_rows(frame: DataFrame, **selected: Iterable | None) -> DataFrame:
+def slice_rows(
+    frame: DataFrame, skip_missing: bool = False, **selected: Iterable | None
+) -> DataFrame:
     """Keep rows whose value is among the selected ones, per slicer column.
 
-    `None` selects everything.  Slicers the frame has no column for are ignored,
-    so one set of filters can be applied to every mart.
+    `None` selects everything.  The year slicer also answers to a column `year`, as
+    the quality mart has it.  A slicer the frame has no column for is an error,
+    unless `skip_missing` leaves it out.
     """
     unknown = set(selected) - set(SLICERS)
     if unknown:
         raise ValueError(f"not a slicer: {', '.join(sorted(unknown))}")
     for name, values in selected.items():
-        if values is not None and name in frame.columns:
-            frame = frame.filter(F.col(name).isin(list(values)))
+        if values is None:
+            continue
+        column = "year" if name == "service_year" and name not in frame.columns else name
+        if column in frame.columns:
+            frame = frame.filter(F.col(column).isin(list(values)))
+        elif not skip_missing:
+            raise ValueError(f"no column for the slicer {name}")
     return frame

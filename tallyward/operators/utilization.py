@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyward.functions.additive import COST, rollup
+from tallyward.functions.spread import spread
 from tallyward.functions.money import from_cents, mean_money
 from tallyward.functions.shares import share_of_all
 
@@ -74,12 +75,7 @@ def procedure_utilization(claims: DataFrame) -> DataFrame:
 def utilization_matrix(claims: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Claim counts by facility type (rows) and region (columns), 0 where none.
 
-    Naming the regions saves the pass that would discover them.
+    All regions present get a column, unknown and NULL ones too.
     """
     counts = rollup(claims, ["facility_type", "region"], ["claims"])
-    return (
-        counts.groupBy("facility_type")
-        .pivot("region", list(regions) if regions is not None else None)
-        .agg(F.sum("claims"))
-        .fillna(0)
-    )
+    return spread(counts, "facility_type", "region", "claims", regions).fillna(0)

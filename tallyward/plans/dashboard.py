@@ -7,21 +7,25 @@ from pyspark.sql import DataFrame
 from tallyward.operators import cost, denial, patients as people, readmission, utilization
 from tallyward.plans import measures, quality_metrics as quality
 from tallyward.plans.marts import MART_BLOCKS, SUMMARY_KEYS
-from tallyward.schemas import REGIONS
 
 PANEL_KEYS = [*SUMMARY_KEYS, "service_month"]
 PANEL_BLOCKS = [*MART_BLOCKS, "oop_cents", "oop_rows", "min_cents", "max_cents"]
 
 
 def dashboard(
-    claims: DataFrame, per_patient: DataFrame, patients: DataFrame
+    claims: DataFrame,
+    per_patient: DataFrame,
+    patients: DataFrame,
+    metrics: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every panel's table by name.
 
     `claims` and `per_patient` are raw claims or, to scan claims only twice, the
-    cubes with `PANEL_KEYS` and `PANEL_BLOCKS` and by patient.
+    cubes with `PANEL_KEYS` and `PANEL_BLOCKS` and by patient.  `metrics` is a
+    quality table to use instead of the one computed from the claims.
     """
-    metrics = quality.quality_metrics(claims)
+    if metrics is None:
+        metrics = quality.quality_metrics(claims)
     return {
         "kpi_summary": measures.exec_kpis(claims),
         "kpi_monthly_spend": cost.monthly_spend(claims),
@@ -30,7 +34,7 @@ def dashboard(
         "readmission_by_diagnosis": readmission.top_readmit_diagnoses(claims),
         "readmission_by_year": readmission.readmit_by_year(claims),
         "payer_mix": cost.payer_mix(claims),
-        "utilization_heatmap": utilization.utilization_matrix(claims, REGIONS),
+        "utilization_heatmap": utilization.utilization_matrix(claims),
         "cost_trend": cost.cost_trend(claims),
         "cost_trend_regional": cost.regional_yearly(claims),
         "denial_rates": denial.denial_alert(claims),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyward.functions.additive import COST, rollup
+from tallyward.functions.spread import spread
 from tallyward.functions.money import (
     cents,
     from_cents,
@@ -55,12 +56,7 @@ def yearly_matrix(
     metrics: DataFrame, measure: str, years: Sequence[int] | None = None
 ) -> DataFrame:
     """`measure` by region (rows) and year (columns), 0 where there is no row."""
-    return (
-        metrics.groupBy("region")
-        .pivot("year", list(years) if years is not None else None)
-        .agg(F.first(measure))
-        .fillna(0.0)
-    )
+    return spread(metrics, "region", "year", measure, years).fillna(0.0)
 
 
 def los_matrix(metrics: DataFrame, years: Sequence[int] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,7 +34,7 @@ def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local session without the setting gets a temporary folder: on a
-    cluster such a folder would not be visible to the other machines.
+    cluster such a folder would not be visible to the other machines.  It goes at exit.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,6 +43,7 @@ def shared_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="tallyward-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if current is None:
         context.setCheckpointDir(configured)
     return configured or current

@@ -60,21 +60,38 @@ def write_all(frames: Mapping[str, DataFrame], root: str, csv: bool = False) ->
         list(pool.map(inheritable_thread_target(session)(write), frames.items()))
 
 
+def build_cubes(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The category and the patient cube behind all marts and panels: two scans."""
+    cube = claims_cube(claims, PANEL_KEYS, PANEL_BLOCKS)
+    return materialize(cube), materialize(patient_cube(claims))
+
+
 def export_marts(
-    claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
+    claims: DataFrame,
+    patients: DataFrame,
+    root: str,
+    csv: bool = False,
+    cubes: tuple[DataFrame, DataFrame] | None = None,
 ) -> list[str]:
-    """Write all six marts below `root` and return their names."""
-    cube = materialize(claims_cube(claims))
-    marts = all_marts(cube, patient_cube(claims), patients)
+    """Write all six marts below `root` and return their names.
+
+    `cubes` are those of `build_cubes`, if they are there already.
+    """
+    cube, per_patient = cubes or (materialize(claims_cube(claims)), patient_cube(claims))
+    marts = all_marts(cube, per_patient, patients)
     write_all(marts, root, csv)
     return list(marts)
 
 
 def export_dashboard(
-    claims: DataFrame, patients: DataFrame, root: str, csv: bool = False
+    claims: DataFrame,
+    patients: DataFrame,
+    root: str,
+    csv: bool = False,
+    cubes: tuple[DataFrame, DataFrame] | None = None,
+    metrics: DataFrame | None = None,
 ) -> list[str]:
     """Write the data of all dashboard panels below `root` and return their names."""
-    cube = materialize(claims_cube(claims, PANEL_KEYS, PANEL_BLOCKS))
-    panels = dashboard(cube, materialize(patient_cube(claims)), patients)
+    panels = dashboard(*(cubes or build_cubes(claims)), patients, metrics)
     write_all(panels, root, csv)
     return list(panels)

@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyward.schemas import SUMMARY_TYPES, TABLES
 
 
-def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> DataFrame:
-    """One table with its declared schema; malformed CSV rows fail the read."""
-    reader = spark.read.schema(TABLES[name])
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
-    return reader.format(fmt).load(path)
+def read_table(
+    spark: SparkSession, path: str, name: str, fmt: str = "csv", strict: bool = False
+) -> DataFrame:
+    """One table with its declared types.
+
+    CSV columns are found by their names in the header, in any order; further ones are
+    left out and a missing one is an error.  A row with a value that does not parse
+    fails the read if the column is used, with `strict` in any case.
+    """
+    if fmt != "csv":
+        return spark.read.schema(TABLES[name]).format(fmt).load(path)
+    declared = {field.name: field for field in TABLES[name].fields}
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [column for column in declared if column not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = T.StructType(
+        [declared.get(column, T.StructField(column, T.StringType())) for column in header]
+    )
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    table = reader.csv(path).select(*declared)
+    if strict:  # always true, but it makes every query parse all columns
+        every = F.concat_ws("", *[F.col(column).cast("string") for column in declared])
+        table = table.filter(F.length(every) >= 0)
+    return table
 
 
 def read_tables(

@@ -241,7 +241,11 @@ def test_rate_card_rounds_half_up(spark):
 def test_slicers(spark):
     data = claims(spark, {}, {"region": "Midwest"}, {"region": None})
     assert slicing.slice_rows(data, region=["West"], payer=None).count() == 1
-    assert slicing.slice_rows(data.drop("payer"), payer=["nobody"]).count() == 3
+    assert slicing.slice_rows(data.drop("payer"), skip_missing=True, payer=["nobody"]).count() == 3
+    with pytest.raises(ValueError, match="no column"):
+        slicing.slice_rows(data.drop("payer"), payer=["nobody"])
+    by_year = data.withColumnRenamed("service_year", "year")
+    assert slicing.slice_rows(by_year, service_year=[1900]).count() == 0
     assert slicing.slice_rows(data, region=[]).count() == 0
     with pytest.raises(ValueError):
         slicing.slice_rows(data, gender=["F"])

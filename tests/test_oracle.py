@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from oracle.statements import statements
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 TYPES = {
@@ -29,7 +30,7 @@ def _sorted(rows):
     return sorted(rows, key=lambda row: tuple((value is None, str(value)) for value in row))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_matches_sql(spark, sf_dir, oracle, name):
     frame = queries()[name](spark, sf_dir)
     expected = oracle.execute(oracle_sql()[name])
@@ -44,7 +45,9 @@ def test_matches_sql(spark, sf_dir, oracle, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    # The queries on training data have tests of their own.
+    own = {name for name in queries() if not name.startswith("op") and name != "pipeline"}
+    assert own == set(statements()) <= set(oracle_sql())
 
 
 def test_entry_is_the_flagship(spark):

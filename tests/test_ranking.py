@@ -67,9 +67,7 @@ def test_cohort_of_nothing(spark):
     assert rows(ranking.high_cost_cohort(none)) == [("Top 5% high-cost patients", 0, None, None)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
-def test_percentiles_against_numpy(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(percentiles, "_BROADCAST_ROWS", broadcast_rows)
+def test_percentiles_against_numpy(spark):
     random.seed(11)
     amounts = {
         "one": [random.randrange(1, 10**7)],
