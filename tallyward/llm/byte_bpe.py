@@ -16,7 +16,7 @@ import numpy as np
 from tallyward.llm.common import by_bytes, cut
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 1_200_000
+REMEMBERED = 1_000_000
 #: Characters of texts taken at a time.
 BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
@@ -38,6 +38,7 @@ class ByteBpe:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}  # words at the start of a line, with its end before them
         # Every character of a byte-level token stands for one byte.
         self._bytes = np.zeros(self.size, np.int64)
         for token, at in self.tokenizer.get_vocab().items():
@@ -51,8 +52,9 @@ class ByteBpe:
                 found.append(array("I", each.ids).tobytes())
         return found
 
-    def _encode_joined(self, words: list[str]) -> list[bytes]:
-        """The ids of words, each with a space before it, by few calls of the library.
+    def _encode_joined(self, words: list[str], mark: str = " ") -> list[bytes]:
+        """The ids of words, each with a space or a line end before it, by few calls of
+        the library.
 
         Words without white space at their ends do not affect each other; the ids are
         dealt out by their bytes.
@@ -60,7 +62,7 @@ class ByteBpe:
         found: list[bytes] = []
         for start, end in by_bytes(words, 1 << 15):
             some = words[start:end]
-            text = " " + " ".join(some)
+            text = mark + mark.join(some)
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum([len(word.encode()) + 1 for word in some])
             places = np.cumsum(self._bytes[ids])
@@ -105,13 +107,37 @@ class ByteBpe:
         table = dict(zip(own, ids, strict=True))
         new = [word for word, each in zip(own, ids, strict=True) if each is None and not _is_odd(word)]
         if new:
-            fresh = dict(zip(new, self._encode_regular(new), strict=True))
+            fresh = self._encode_new(new)
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
             self.known |= fresh
             table |= fresh
         return table
 
+    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
+        """A single line end between two others begins a piece, as a space does, so what
+        stands on both sides of it is encoded by itself."""
+        plain, halves = [], {}
+        for word in words:
+            before, end, after = word.partition("\n")
+            if end and "\n" not in after and not _is_odd(before) and not _is_odd(after):
+                halves[word] = before, after
+            else:
+                plain.append(word)
+        wanted = {before for before, _ in halves.values()}.difference(self.known, plain)
+        plain += wanted
+        fresh = dict(zip(plain, self._encode_regular(plain), strict=True))
+        if halves:
+            starts = [*{after for _, after in halves.values()}.difference(self.lines)]
+            if len(self.lines) + len(starts) > REMEMBERED // 4:
+                self.lines.clear()
+                starts = [*{after for _, after in halves.values()}]
+            self.lines.update(zip(starts, self._encode_joined(starts, "\n"), strict=True))
+            for word, (before, after) in halves.items():
+                first = fresh[before] if before in fresh else self.known[before]
+                fresh[word] = first + self.lines[after]
+        return fresh
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         found: list[bytes] = []
