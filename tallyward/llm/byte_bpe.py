@@ -16,7 +16,7 @@ import numpy as np
 from tallyward.llm.common import by_bytes, cut
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 #: Characters of texts taken at a time.
 BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
@@ -110,7 +110,8 @@ class ByteBpe:
             fresh = self._encode_new(new)
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
-            self.known |= fresh
+            # Words across a line end hardly come again; their halves do.
+            self.known.update((word, each) for word, each in fresh.items() if "\n" not in word)
             table |= fresh
         return table
 
