@@ -16,7 +16,7 @@ import numpy as np
 from tallyward.llm.common import by_bytes, cut
 
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_300_000
 #: Characters of texts taken at a time.
 BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
