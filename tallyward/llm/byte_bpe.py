@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import filterfalse
 
 import numpy as np
 
@@ -20,6 +21,8 @@ REMEMBERED = 1_300_000
 #: Characters of texts taken at a time.
 BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
+#: Below it, the pre-tokenizer and str.isalpha() know the same letters.
+_LETTERS = "\u0530"
 _WORD = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -43,8 +46,27 @@ class ByteBpe:
         self._bytes = np.zeros(self.size, np.int64)
         for token, at in self.tokenizer.get_vocab().items():
             self._bytes[at] = len(token)
+        # The letter that stands for each byte, where it is another: those for bytes that
+        # do not print follow each other from 256.
+        unseen = [byte for byte in range(256) if byte < 33 or 127 <= byte <= 160 or byte == 173]
+        self._shown = {byte: chr(256 + n) for n, byte in enumerate(unseen)}
+        self._line_end = self.tokenizer.token_to_id(self._shown[10])
+        self._direct = self._takes_words()
         self._marks = {mark: self._encode([mark])[0] for mark in ".,"}
 
+    def _takes_words(self) -> bool:
+        """Whether a word of letters is a piece, and no added token can be a part of it."""
+        from tokenizers import models, pre_tokenizers
+
+        splitter, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder()
+        return (
+            isinstance(self.tokenizer.model, models.BPE)
+            and isinstance(splitter, pre_tokenizers.ByteLevel)
+            and splitter.use_regex and not splitter.add_prefix_space
+            and self.tokenizer.normalizer is None and self._line_end is not None
+            and not any(token.content.strip().isalpha() for token in added.values())
+        )
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = []
         for start, end in by_bytes(texts, _CALL_BYTES):
@@ -52,6 +74,25 @@ class ByteBpe:
                 found.append(array("I", each.ids).tobytes())
         return found
 
+    def _by_model(self, words: list[str], mark: str) -> list[bytes]:
+        """The ids of words of letters alone, each with a space or a line end before it.
+
+        The pre-tokenizer would leave such a word in one piece, so the library's model
+        takes it as it is.
+        """
+        tokenize, shown = self.tokenizer.model.tokenize, self._shown
+        before, lead = (shown[32], []) if mark == " " else ("", [self._line_end])
+        ids: list[int] = []
+        ends = [0]
+        for word in words:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(shown)
+            ids += lead
+            ids += [token.id for token in tokenize(before + word)]
+            ends.append(4 * len(ids))
+        data = array("I", ids).tobytes()
+        return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
     def _encode_joined(self, words: list[str], mark: str = " ") -> list[bytes]:
         """The ids of words, each with a space or a line end before it, by few calls of
         the library.
@@ -86,34 +127,37 @@ class ByteBpe:
             return [own[word] for word in words]
         return self._encode_regular(words)
 
-    def _encode_regular(self, words: list[str]) -> list[bytes]:
+    def _encode_regular(self, words: list[str], mark: str = " ") -> list[bytes]:
         stems = [word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word for word in words]
-        plain = list(dict.fromkeys(stems))
-        ids = dict(zip(plain, self._encode_joined(plain), strict=True))
+        plain = dict.fromkeys(stems)
+        letters = [word for word in plain if word.isalpha() and max(word) < _LETTERS] if self._direct else []
+        ids = dict(zip(letters, self._by_model(letters, mark), strict=True))
+        others = [word for word in plain if word not in ids]
+        ids |= zip(others, self._encode_joined(others, mark), strict=True)
         marks = self._marks
         return [
             ids[stem] if stem is word or stem == word else ids[stem] + marks[word[-1]]
             for word, stem in zip(words, stems, strict=True)
         ]
 
-    def table(self, words: set[str]) -> dict[str, bytes | None]:
-        """The ids of the words, each with a space before it, from memory or encoded.
+    def _learn(self, texts: list[list[str]]) -> list[str]:
+        """Have `known` hold every word of the texts, with the ids of the word and a space
+        before it; returns those that the caller is to forget after use.
 
         A word that is empty or has white space at an end has None: there the space
         does not begin a piece.
         """
-        own = list(words)
-        ids = list(map(self.known.get, own))
-        table = dict(zip(own, ids, strict=True))
-        new = [word for word, each in zip(own, ids, strict=True) if each is None and not _is_odd(word)]
-        if new:
-            fresh = self._encode_new(new)
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-            # Words across a line end hardly come again; their halves do.
-            self.known.update((word, each) for word, each in fresh.items() if "\n" not in word)
-            table |= fresh
-        return table
+        known = self.known
+        new: set[str] = set().union(*(filterfalse(known.__contains__, words) for words in texts))
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*texts)
+        odd = {word for word in new if _is_odd(word)}
+        fresh = self._encode_new([word for word in new if word not in odd])
+        known.update(fresh)
+        known.update(dict.fromkeys(odd))
+        # Words across a line end hardly come again; their halves do.
+        return [word for word in new if "\n" in word]
 
     def _encode_new(self, words: list[str]) -> dict[str, bytes]:
         """A single line end between two others begins a piece, as a space does, so what
@@ -133,7 +177,7 @@ class ByteBpe:
             if len(self.lines) + len(starts) > REMEMBERED // 4:
                 self.lines.clear()
                 starts = [*{after for _, after in halves.values()}]
-            self.lines.update(zip(starts, self._encode_joined(starts, "\n"), strict=True))
+            self.lines.update(zip(starts, self._encode_regular(starts, "\n"), strict=True))
             for word, (before, after) in halves.items():
                 first = fresh[before] if before in fresh else self.known[before]
                 fresh[word] = first + self.lines[after]
@@ -152,22 +196,30 @@ class ByteBpe:
     def _batch(self, texts: list[str]) -> list[bytes]:
         words = [text.split(" ") for text in texts]
         heads = self._encode([each.pop(0) for each in words])
-        lookup = self.table(set().union(*words)).__getitem__
-        found = []
-        for text, head, each in zip(texts, heads, words, strict=True):
+        passing = self._learn(words)
+        lookup = self.known.__getitem__
+        found: list[bytes | None] = []
+        for head, each in zip(heads, words, strict=True):
             try:
                 found.append(head + b"".join(map(lookup, each)))
             except TypeError:  # a word with white space at an end
-                found.append(self._irregular(text))
-        return found
+                found.append(None)
+        self._forget(passing)
+        return [self._irregular(text) if ids is None else ids for text, ids in zip(texts, found, strict=True)]
+
+    def _forget(self, words: list[str]) -> None:
+        for word in words:
+            del self.known[word]
 
     def _irregular(self, text: str) -> bytes:
         """Split only where a space does begin a piece."""
         first, *middle = _WORD.split(text)
         last = middle.pop() if middle else None
         ends = self._encode([first] if last is None else [first, " " + last])
-        lookup = self.table(set(middle)).__getitem__
-        return b"".join([ends[0], *map(lookup, middle), *ends[1:]])
+        passing = self._learn([middle])
+        ids = b"".join([ends[0], *map(self.known.__getitem__, middle), *ends[1:]])
+        self._forget(passing)
+        return ids
 
 
 _ENCODERS: dict[str, ByteBpe] = {}

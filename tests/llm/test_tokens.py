@@ -103,3 +103,19 @@ def test_counts_and_round_trip_queries(docs, none):
 
     assert found == sorted([(i, *digests(t)) for i, t, _ in DOCS], key=key)
     assert token_counts.token_counts(none, WORD).count() == bpe_codec.bpe_round_trip(none, WORD).count() == 0
+
+
+def test_words_of_letters_match_the_library():
+    bpe = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    letters = [letter for letter in map(chr, range(0x530)) if letter.isalpha()]
+    words = [*letters, *(f"a{letter}b." for letter in letters)]
+    own = [np.frombuffer(ids, "<u4").tolist() for ids in bpe.encode_words(words)]
+    assert own == [bpe.tokenizer.encode(" " + word, add_special_tokens=False).ids for word in words]
+
+
+def test_words_across_line_ends_are_not_remembered():
+    bpe = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one two\nthree four", " lead  two\n\nthree \n", "Über,\nnaïve. 日本 x\ny"]
+    own = [np.frombuffer(ids, "<u4").tolist() for ids in bpe.encode(texts)]
+    assert own == [bpe.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert not any("\n" in word for word in bpe.known)
