@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tallyward.llm import bpe_codec, byte_bpe, token_counts, token_files
+from tallyward.llm import bpe_codec, byte_bpe, lm_score, token_counts, token_files
+from tallyward.llm.attention_model import CLASSES, count_steps
 from tests.llm.conftest import DOCS
 
 WORD, BYTE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -119,3 +120,57 @@ def test_words_across_line_ends_are_not_remembered():
     own = [np.frombuffer(ids, "<u4").tolist() for ids in bpe.encode(texts)]
     assert own == [bpe.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
     assert not any("\n" in word for word in bpe.known)
+
+
+@pytest.fixture(scope="module")
+def trained(spark, docs, tmp_path_factory):
+    """A fit on more than 400 texts, with the head cut to 30 words."""
+    rows = [(n, f"alpha beta w{n}x gamma{n % 7} " + "tail ends " * (n % 3)) for n in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [text for n, text in rows if zlib.crc32(str(n).encode()) % 7 != 2]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lm_score, "HEAD", 30)
+        model, distinct, words = lm_score.fit(frame, str(tmp_path_factory.mktemp("lm")), BYTE)
+    return frame, texts, model, distinct, words
+
+
+def test_tables_come_from_all_training_texts(trained, monkeypatch):
+    _, texts, model, *_ = trained
+    steps = np.zeros(CLASSES * CLASSES, np.int64)
+    codes = np.append(model.classes, np.uint8(lm_score.END_CLASS))
+    for stream in lm_score.Spelling(BYTE).streams(texts):
+        steps += count_steps(codes[stream])
+    seen = []
+    monkeypatch.setattr(lm_score.Attention, "start", lambda self, found: seen.append(found))
+    monkeypatch.setattr(lm_score, "ROUNDS", 0)
+    frame = trained[0]
+    chosen = frame.filter(~lm_score.held_out(frame.doc_id)).select(frame.doc_id.alias("id"), "text")
+    lm_score.fit_attention(chosen, 1e6, model.classes, BYTE, lm_score.scratch_path(frame.sparkSession, "lm"))
+    assert len(texts) > 400 and (seen[0] == steps).all()
+    fitted = [units / lm_score.every_so_many(units) for units in (1e4, 1e6, 1e7, 1e8, 1e9, 1e10)]
+    assert all(b > 2.5 * a for a, b in zip(fitted, fitted[1:], strict=False))
+
+
+def test_every_pair_counts_and_the_end_is_known(trained):
+    _, texts, model, distinct, words = trained
+    counts = {}
+    for text in texts:
+        for word in text.split():
+            counts[word] = counts.get(word, 0) + 1
+    assert distinct == len(counts) + 1
+    bpe = byte_bpe.encoder(BYTE)
+    found = {row["word"]: (row["c"], row["inside"]) for row in words.collect()}
+    spelled = {word: lm_score.split_words(bpe, [word])[0].tolist() for word in found if word}
+    size = 2 * bpe.size
+    single, pair, group = np.ones(size), {}, {}
+    for word, units in spelled.items():
+        for before, unit in zip([None, *units], units, strict=False):
+            single[unit] += counts.get(word, 0)
+            for held, key in ((pair, (before, unit)), (group, (before, model.classes[unit]))):
+                held[key] = held.get(key, 0) + counts.get(word, 0)
+    plain = single / np.bincount(model.classes, single, minlength=CLASSES)[model.classes]
+    for word, units in spelled.items():
+        inside = np.log(plain[units[0]])
+        for before, unit in zip(units, units[1:], strict=False):
+            inside += np.log((pair[before, unit] + 5 * plain[unit]) / (group[before, model.classes[unit]] + 5))
+        assert found[word] == (counts.get(word, 0), pytest.approx(inside)), word
