@@ -157,7 +157,7 @@ def test_every_pair_counts_and_the_end_is_known(trained):
     for text in texts:
         for word in text.split():
             counts[word] = counts.get(word, 0) + 1
-    assert distinct == len(counts) + 1
+    assert distinct == len(counts) + 1 and model.head[lm_score.END] == (len(texts), 0.0)
     bpe = byte_bpe.encoder(BYTE)
     found = {row["word"]: (row["c"], row["inside"]) for row in words.collect()}
     spelled = {word: lm_score.split_words(bpe, [word])[0].tolist() for word in found if word}
