@@ -4,7 +4,8 @@ The standard library's streaming parser reports tags and text; text between two
 borders is a line.  A line's ratio is its text length per tag met in it; the ratios are
 smoothed with a Gaussian, and lines above a threshold (the spread of the smoothed ratios)
 cluster to the content regions.  The clusters point out the element that holds the
-article: the innermost one with most of their text.  All its lines are kept, the short
+article: all <article> or else <main> elements, without them the innermost one with
+all of the clusters' text.  All its lines are kept, the short
 ones too, without what is never content: scripts, styles, menus, headers and footers of
 the page, sidebars, notices, adverts, forms and comments, known by their element or by a
 word of their class, id or role.  Nothing is cut off.
@@ -28,8 +29,6 @@ from tallyward.llm.common import map_batches, texts_of
 SCHEMA = "page_id long, url string, text string, n_chars long"
 #: Width of the Gaussian, in lines.
 SIGMA = 1.0
-#: Share of the clusters' text that the article's element has to hold.
-SHARE = 0.5
 
 #: Elements that end a line.
 BLOCKS = frozenset(
@@ -182,13 +181,12 @@ def content_lines(lines: list[tuple[str, int, tuple[int, ...], int]], kinds: lis
             held[element] = held.get(element, 0.0) + part
     total = weight.sum()
     articles = [element for element in held if kinds[element] in ("article", "main")]
-    # Articles are what they say; otherwise the innermost element with the share.
+    # Articles are what they say; otherwise the innermost element with all of it.
     chosen = {e for e in articles if kinds[e] == "article"} or set(articles)
-    if sum(held[element] for element in chosen) < SHARE * total:
-        enough = [element for element in held if held[element] >= SHARE * total]
-        chosen = {max(enough)} if enough else set()
-        if chosen and kinds[max(enough)] == "body":
-            chosen = set()
+    if not chosen:
+        enough = [element for element in held if held[element] >= total - 0.5]
+        if enough and kinds[max(enough)] != "body":
+            chosen = {max(enough)}
     if chosen:
         return [line[0] for line in lines if not chosen.isdisjoint(line[2])]
     return [line[0] for line, linked in zip(lines, links, strict=True) if not linked]

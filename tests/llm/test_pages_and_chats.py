@@ -41,6 +41,22 @@ def test_small_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, lines",
+    [
+        ("<div><section>{0}</section><section>{1}</section></div>", 2),
+        ("<div><section>{0}{0}{0}{0}{0}{0}</section><p>{1}</p></div>", 7),
+        ("<body><div>{0}</div><div>{1}</div></body>", 2),
+        ("<table><tr><td>{0}</td><td>{1}</td></tr></table>", 2),
+        ("<article>Short one.</article><div>{0}{0}</div>", 0),
+    ],
+)
+def test_articles_over_several_elements(page, lines):
+    texts = ["some words of the first " * 12, "and more of the second " * 11]
+    wanted = [" ".join((texts[0] * max(1, lines - 1)).split()), texts[1].strip()] if lines else ["Short one."]
+    assert html_extract.main_text(page.format(*texts)) == "\n".join(wanted)
+
+
 def test_pages_with_nulls(spark, table):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)], "page_id long, url string, html string")
     found = html_extract.extract_text(pages).collect()
