@@ -61,12 +61,20 @@ _SIBLINGS = {"p": {"p"}, "li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {
 _CLOSES_P = BLOCKS - {"br", "body", "html", "head", "title", "option", "select", "caption",
                       "tbody", "td", "tfoot", "th", "thead", "tr", "legend"}
 _WORD = re.compile(r"[a-z]+")
+#: Elements that a head may have; any other closes it.
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
+#: Marks that an article's own parts bear too.
+_OF_ARTICLE = frozenset("header masthead tags".split())
+#: Readers' words, whatever holds them.
+_COMMENTS = frozenset("comment comments discussion disqus reply replies respond".split())
+#: First words of a class that says what the page has, not what the element is.
+_STATES = frozenset("has no with without is".split())
 
 
 class _Lines(HTMLParser):
     """Lines of a page: text, tags met, and the elements around each."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, element number, dropped
         self.held: list[str] = []
@@ -76,6 +84,11 @@ class _Lines(HTMLParser):
         self.elements = 0
         self.kinds: list[str] = []
         self.lines: list[tuple[str, int, tuple[int, ...], int]] = []
+        self.spared = spared
+        self.may: dict[int, int] = {}  # wrappers dropped by their mark: text within
+        self.holders: set[int] = set()  # those with an article or main
+        self.seen = 0  # characters of the page's text
+        self.outside = False  # an article or main that is not dropped
 
     def end_line(self) -> None:
         if self.held:
@@ -91,16 +104,37 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         self.tags += 1
+        if self.open and self.open[-1][0] == "head" and tag not in _IN_HEAD:
+            self._pop_to(len(self.open) - 1)
+        if tag == "body":
+            at = next((at for at, each in enumerate(self.open) if each[0] == "head"), None)
+            if at is not None:
+                self._pop_to(at)
         if tag in VOID:
             return
         if tag in _CLOSES_P or tag in _SIBLINGS:
             self._close_sibling(tag)
+        inherited = bool(self.open and self.open[-1][2])
+        in_article = any(name in ("article", "main") for name, _, _ in self.open)
         # A header of the page, not one inside the article.
-        dropped = bool(self.open and self.open[-1][2]) or tag in DROPPED
+        dropped = tag in DROPPED
         if not dropped and tag == "header":
             dropped = not any(name == "article" for name, _, _ in self.open)
-        if not dropped and attrs and tag not in ("html", "body", "article", "main", "h1"):
-            dropped = _is_marked(attrs)
+        marks: set[str] = set()
+        if not dropped and attrs and tag not in ("html", "body", "main", "h1"):
+            marks = _marks(attrs) & (_COMMENTS if tag == "article" else MARKED | {""})
+            dropped = bool(marks - (_OF_ARTICLE if in_article else set()))
+        if dropped and (tag == "form" or marks) and "" not in marks and marks.isdisjoint(_COMMENTS):
+            if self.elements in self.spared:
+                dropped = False
+            elif not inherited:
+                self.may[self.elements] = 0
+        dropped = dropped or inherited
+        if tag in ("article", "main"):
+            if dropped:
+                self.holders.update(number for _, number, _ in self.open if number in self.may)
+            else:
+                self.outside = True
         if tag == "a":
             self.in_link += 1
         self.elements += 1
@@ -138,21 +172,29 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        self.seen += len(data.strip()) if not self.open or self.open[-1][0] not in ("script", "style") else 0
         if self.open and self.open[-1][2]:
+            for tag, number, _ in self.open:
+                if number in self.may and self.open[-1][0] not in ("script", "style"):
+                    self.may[number] += len(data.strip())
             return
         self.held.append(data)
         if self.in_link:
             self.links += len(data)
 
 
-def _is_marked(attrs: list[tuple[str, str | None]]) -> bool:
+def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The words of MARKED that an element bears; an empty one if it is hidden."""
+    found: set[str] = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            if not MARKED.isdisjoint(_WORD.findall(value.lower())):
-                return True
+            for each in value.lower().split():
+                words = _WORD.findall(each)
+                if words and words[0] not in _STATES:
+                    found |= MARKED.intersection(words)
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-    return False
+            found.add("")
+    return found
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -193,10 +235,18 @@ def content_lines(lines: list[tuple[str, int, tuple[int, ...], int]], kinds: lis
 
 
 def main_text(html: str) -> str:
-    parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.end_line()
+    spared: frozenset[int] = frozenset()
+    while True:
+        parser = _Lines(spared)
+        parser.feed(html)
+        parser.close()
+        parser.end_line()
+        # A dropped wrapper of the only article, or of most of the page's text, is read again.
+        again = {number for number, size in parser.may.items() if not parser.outside
+                 and (number in parser.holders or 2 * size > parser.seen)}
+        if not again:
+            break
+        spared |= again
     return "\n".join(content_lines(parser.lines, parser.kinds))
 
 

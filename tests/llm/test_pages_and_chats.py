@@ -57,6 +57,23 @@ def test_articles_over_several_elements(page, lines):
     assert html_extract.main_text(page.format(*texts)) == "\n".join(wanted)
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>t</title><body><p>Some text", "Some text"),
+        ("<head><meta charset=x><title>t</title><p>Some text", "Some text"),
+        ("<div class='page has-sidebar'><article><p>Some text</article></div>", "Some text"),
+        ("<div class='menu'><main><article><p>Some text</article></main></div>", "Some text"),
+        ("<body><form><div>Some text of a page</div></form></body>", "Some text of a page"),
+        ("<article><div class='post-header'>Title</div><p>Text<div class='tags'>x</div></article>", "Title\nText\nx"),
+        ("<article><p>Text</article><article class='comment'><p>No</article>", "Text"),
+        ("<article><p>Text</article><div class='related'><article>No</article></div>", "Text"),
+    ],
+)
+def test_dropping_spares_what_holds_the_article(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_with_nulls(spark, table):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)], "page_id long, url string, html string")
     found = html_extract.extract_text(pages).collect()
