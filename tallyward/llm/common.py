@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a batch function works on at a time, and the longest piece of one text.
 PIECE_BYTES = 1 << 20
@@ -50,17 +50,26 @@ def texts_of(column: pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
 
+def quoted(name: str) -> str:
+    """A column's name as one part, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def map_batches(
     frame: DataFrame, columns: list[str], work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
-    """Apply `work` to every Arrow batch of the named columns."""
+    """Apply `work` to every Arrow batch of the named columns.
+
+    `work` sees them by place: a batch function cannot take names with dots.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield work(batch)
 
-    return frame.select(*columns).mapInArrow(run, schema)
+    chosen = [F.col(quoted(name)).alias(f"c{at}") for at, name in enumerate(columns)]
+    return frame.select(*chosen).mapInArrow(run, schema)
 
 
 def cut(text: str, size: int = PIECE_BYTES) -> Iterator[str]:

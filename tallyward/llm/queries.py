@@ -11,11 +11,14 @@ from tallyward.llm import (
     bpe_codec,
     chat_format,
     decontaminate,
+    filter_audit,
     html_extract,
     lm_score,
     pii_crf,
     quality_rules,
     simhash_dedup,
+    spelling_groups,
+    text_sketches,
     token_counts,
     token_files,
 )
@@ -79,6 +82,18 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(read(spark, sf_dir, "documents"))
+
+
+def op12_text_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_sketches.compare_edits(read(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -103,6 +118,9 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_bpe_codec,
         op10_simhash_dedup,
+        op11_spelling_groups,
+        op12_text_sketches,
+        op13_filter_audit,
     )
 }
 
@@ -129,4 +147,49 @@ ORACLE_SQL: dict[str, str] = {
                sum(length(role) + length(body) + 24)::BIGINT AS formatted_chars
         FROM rendered GROUP BY conv_id
     """,
+    "op13_filter_audit": r"""
+        WITH judged AS (
+            SELECT doc_id, part,
+                   (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+                   + 4 * (100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body))::INT
+                   + 8 * regexp_matches(body, '[#$%&*|]')::INT
+                   + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)::INT AS fails
+            FROM (
+                SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+                       regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+                FROM documents
+            )
+        ), marks AS (
+            SELECT doc_id, max((coalesce(quality, 0) = 1)::INT) AS good, max((coalesce(toxic, 0) = 1)::INT) AS toxic
+            FROM labels GROUP BY doc_id
+        ), sets AS (
+            SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+            FROM judged LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+        ), letters(letter, bit) AS (
+            VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+        ), orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+              AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+        ), steps AS (
+            SELECT filter_order, step, own.bit AS own, coalesce(sum(before.bit), 0)::INT AS earlier
+            FROM orders CROSS JOIN range(1, 6) r(step)
+            JOIN letters own ON own.letter = substr(filter_order, step, 1)
+            LEFT JOIN letters before ON contains(substr(filter_order, 1, step - 1), before.letter)
+            GROUP BY filter_order, step, own.bit
+        ), counted AS (
+            SELECT part, filter_order, step, own,
+                   coalesce(sum(n) FILTER (fails & (own | earlier) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (fails & own > 0 AND fails & earlier = 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (fails & own > 0 AND fails & earlier > 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (fails & own > 0 AND fails & earlier = 0), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (fails & own > 0 AND fails & earlier = 0), 0)::BIGINT AS toxic_lost
+            FROM sets CROSS JOIN steps GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+        FROM counted
+    """,
 }
