@@ -10,12 +10,14 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from oracle.statements import statements  # noqa: E402
+from tallyward.functions import digest  # noqa: E402
 from tallyward.operators import (  # noqa: E402
     cost,
     denial,
@@ -29,7 +31,7 @@ from tallyward.operators import (  # noqa: E402
     utilization,
 )
 from tallyward.plans import marts, measures, quality_metrics as quality_mart  # noqa: E402
-from tallyward.schemas import CLAIMS  # noqa: E402
+from tallyward.schemas import CLAIMS, DIAGNOSES, PAID_SHARE, PROCEDURES, TABLES  # noqa: E402
 from tallyward.session import scratch_path  # noqa: E402
 from tallyward.sinks import files  # noqa: E402
 from tallyward.sources import faults, tables, testbed  # noqa: E402
@@ -151,38 +153,37 @@ def _as_doubles(frame: DataFrame) -> DataFrame:
     )
 
 
-def _read_back(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The three tables after a round trip through CSV files."""
-    root = scratch_path(spark, "datasets")
+def _datasets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     claims = testbed.claims(spark, path)
-    files.write_datasets(
-        {
-            "patients": testbed.patients(spark, path),
-            "claims": claims,
-            "quality_metrics": quality_mart.quality_metrics(claims),
-        },
-        root,
-    )
-    return tables.read_tables(spark, root)
+    return {
+        "patients": testbed.patients(spark, path),
+        "claims": claims,
+        "quality_metrics": quality_mart.quality_metrics(claims),
+    }
 
 
-def _row_counts(frames: dict[str, DataFrame], key: str) -> DataFrame:
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias(key), "rows")
-        for name, frame in frames.items()
-    ]
-    result = counts[0]
-    for counted in counts[1:]:
-        result = result.unionByName(counted)
-    return result
+def _digests(frames: dict[str, DataFrame], key: str) -> DataFrame:
+    """A digest of each table's contents."""
+    digests = [digest.table_digest(frame).select(F.lit(name).alias(key), "*") for name, frame in frames.items()]
+    return reduce(DataFrame.unionByName, digests)
 
 
 def _write_datasets(spark: SparkSession, path: str) -> DataFrame:
-    return _row_counts(_read_back(spark, path), "table_name")
+    root = scratch_path(spark, "datasets")
+    files.write_datasets(_datasets(spark, path), root)
+    return _digests({name: tables.read_table(spark, f"{root}/{name}", name) for name in TABLES}, "table_name")
 
 
 def _read_tables(spark: SparkSession, path: str) -> DataFrame:
-    return utilization.monthly_volume(_read_back(spark, path)["claims"])
+    """CSV folders whose files have their columns in different orders, and one more column."""
+    root = scratch_path(spark, "mixed")
+    for name, frame in _datasets(spark, path).items():
+        key = F.pmod(F.xxhash64(frame.columns[0]), F.lit(2))
+        ways = (sorted(frame.columns), [*reversed(frame.columns), "source"])
+        for way, columns in enumerate(ways):
+            part = frame.withColumn("source", F.lit("b, c")).filter(key == way).select(*columns)
+            part.write.mode("append").option("header", True).csv(f"{root}/{name}")
+    return _digests(tables.read_tables(spark, root), "table_name")
 
 
 def _register_tables(spark: SparkSession, path: str) -> DataFrame:
@@ -218,22 +219,20 @@ def _write_qc_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(target)
 
 
-def _export_marts(spark: SparkSession, path: str) -> DataFrame:
-    root = scratch_path(spark, "marts")
-    names = files.export_marts(
-        testbed.claims(spark, path, _EXPORT), testbed.patients(spark, path), root
-    )
-    return _row_counts({name: spark.read.parquet(f"{root}/{name}") for name in names}, "mart")
+def _export(write: Callable, key: str, *columns: str, **selected) -> Query:
+    """A query that writes tables and digests what it reads back."""
 
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        root = scratch_path(spark, key)
+        claims = testbed.claims(spark, path, [*_EXPORT, *columns])
+        names = write(claims, testbed.patients(spark, path), root, selection=slicing.Selection(**selected))
+        return _digests({name: spark.read.parquet(f"{root}/{name}") for name in names}, key)
+
+    return run
 
-def _export_dashboard(spark: SparkSession, path: str) -> DataFrame:
-    root = scratch_path(spark, "panels")
-    names = files.export_dashboard(
-        testbed.claims(spark, path, [*_EXPORT, "service_month", "patient_oop"]),
-        testbed.patients(spark, path),
-        root,
-    )
-    return _row_counts({name: spark.read.parquet(f"{root}/{name}") for name in names}, "panel")
+
+_export_marts = partial(_export, files.export_marts, "mart")
+_export_panels = partial(_export, files.export_dashboard, "panel", "service_month", "patient_oop")
 
 
 def _store_claims(spark: SparkSession, path: str) -> DataFrame:
@@ -305,6 +304,20 @@ def queries() -> dict[str, Query]:
             "claim_id", "diagnosis_code", "procedure_code", enricher=enrich.enrich_codes,
             keep=("diagnosis_desc", "procedure_desc"), faulty=True,
         ),
+        "enrich_codes_table": lambda spark, path: _chosen(
+            "claim_id", "diagnosis_code", "procedure_code", faulty=True, keep=("diagnosis_desc", "procedure_desc"),
+            enricher=lambda claims: enrich.enrich_codes_from(
+                claims,
+                spark.createDataFrame(list(DIAGNOSES.items()), "diagnosis_code string, diagnosis_desc string"),
+                spark.createDataFrame(list(PROCEDURES.items()), "procedure_code string, procedure_desc string"),
+            ),
+        )(spark, path),
+        "apply_rate_table": lambda spark, path: _chosen(
+            "claim_id", "payer", "total_cost", keep=("paid_amount", "patient_oop"),
+            enricher=lambda claims: enrich.apply_rates_from(
+                claims, spark.createDataFrame(list(PAID_SHARE.items()), "payer string, rate decimal(3,2)")
+            ),
+        )(spark, path),
         "apply_rate_card": _chosen(
             "claim_id", "payer", "total_cost", enricher=enrich.apply_rate_card,
             keep=("paid_amount", "patient_oop"),
@@ -350,10 +363,10 @@ def queries() -> dict[str, Query]:
             utilization.procedure_utilization, "procedure_code", "procedure_desc", _COST
         ),
         "utilization_matrix": _on_claims(
-            utilization.utilization_matrix, "facility_type", "region"
+            utilization.utilization_matrix, "facility_type", "region", rest="rest"
         ),
         "utilization_matrix_faulty": _on_faulty(
-            utilization.utilization_matrix, "facility_type", "region"
+            utilization.utilization_matrix, "facility_type", "region", rest="rest"
         ),
         # cost
         "cost_by_payer": _on_claims(cost.cost_by_payer, *paid),
@@ -381,7 +394,7 @@ def queries() -> dict[str, Query]:
             readmission.top_readmit_diagnoses, "diagnosis_desc", *stay
         ),
         "readmit_matrix": _on_claims(
-            readmission.readmit_matrix, "region", "service_year", *stay
+            readmission.readmit_matrix, "region", "service_year", *stay, rest="rest"
         ),
         # denial
         "denial_by_payer": _on_claims(denial.denial_by_payer, "payer", "claim_status"),
@@ -405,8 +418,8 @@ def queries() -> dict[str, Query]:
         ),
         # quality mart
         "quality_metrics": _on_claims(quality_mart.quality_metrics, *_QUALITY),
-        "los_matrix": _on_quality_mart(quality_mart.los_matrix),
-        "er_matrix": _on_quality_mart(quality_mart.er_matrix),
+        "los_matrix": _on_quality_mart(quality_mart.los_matrix, rest="rest"),
+        "er_matrix": _on_quality_mart(quality_mart.er_matrix, rest="rest"),
         "los_by_region": _on_quality_mart(quality_mart.los_by_region),
         # measures
         "exec_kpis": _on_claims(measures.exec_kpis, *stay, _COST, "claim_status"),
@@ -463,8 +476,10 @@ def queries() -> dict[str, Query]:
         "coerce_schema": _coerce_schema,
         "store_claims": _store_claims,
         "write_qc_report": _write_qc_report,
-        "export_marts": _export_marts,
-        "export_dashboard": _export_dashboard,
+        "export_marts": _export_marts(),
+        "export_marts_sliced": _export_marts(**SELECTION),
+        "export_dashboard": _export_panels(),
+        "export_dashboard_sliced": _export_panels(**SELECTION),
         "write_datasets": _write_datasets,
     }
     if training_data is not None:

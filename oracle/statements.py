@@ -6,6 +6,8 @@ is summed in cents and rounded once, as the package documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 _PATIENTS = """
 patients AS (
   SELECT c_custkey AS patient_id,
@@ -286,10 +288,18 @@ def _check(label: str, condition: str) -> str:
     )
 
 
-def _matrix(source: str, row: str, column: str, cell: str, empty: str = "NULL") -> str:
-    """One column per value of `column` that is present."""
-    cells = f"SELECT {row}, coalesce(CAST({column} AS VARCHAR), 'null') AS c, {cell} AS v FROM {source} GROUP BY {row}, {column}"
-    return f"PIVOT ({cells}) ON c USING coalesce(first(v), {empty}) GROUP BY {row}"
+# The values that the test tables have; a cell of any other value shows up in `rest`.
+_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
+_REGIONS = ["Northeast", "Southeast", "Midwest", "West", "Southwest"]
+
+
+def _matrix(source: str, row: str, column: str, cell: str, values: list, empty: str = "NULL") -> str:
+    """One column per value, and how many cells are in none of them."""
+    cells = f"SELECT {row}, CAST({column} AS VARCHAR) AS c, {cell} AS v FROM {source} GROUP BY {row}, {column}"
+    columns = [f"coalesce(max(v) FILTER (WHERE c = '{value}'), {empty}) AS \"{value}\"" for value in values]
+    listed = ", ".join(f"'{value}'" for value in values)
+    rest = f"count(*) FILTER (WHERE c IS NULL OR c NOT IN ({listed})) AS rest"
+    return f"SELECT {row}, {', '.join(columns)}, {rest} FROM ({cells}) GROUP BY {row}"
 
 
 _KPIS = f"""
@@ -306,53 +316,6 @@ _MONTHLY_VOLUME = f"""
 SELECT service_year, service_month, count(*) AS total_claims,
        {_mean_of('cost_c')} AS avg_claim_cost, {_total('cost_c')} AS total_spend
 FROM claims GROUP BY service_year, service_month"""
-_TABLE_ROWS = """
-SELECT 'patients' AS table_name, count(*) AS rows FROM patients
-UNION ALL SELECT 'claims', count(*) FROM claims
-UNION ALL SELECT 'quality_metrics', count(*) FROM quality"""
-_MART_ROWS = """
-SELECT 'claims_summary' AS mart, count(*) AS rows FROM summary
-UNION ALL SELECT 'regional_cost', count(*) FROM regional
-UNION ALL SELECT 'payer_analysis', count(*) FROM payers
-UNION ALL SELECT 'readmissions', count(*) FROM stays
-UNION ALL SELECT 'quality_metrics', count(*) FROM quality
-UNION ALL SELECT 'patient_level', count(*) FROM patient_mart"""
-_PANEL_ROWS = {
-    "kpi_summary": "SELECT 1",
-    "kpi_monthly_spend": "SELECT DISTINCT service_year, service_month FROM claims",
-    "regional_cost": "SELECT DISTINCT region FROM claims",
-    "readmission_by_region": f"SELECT DISTINCT region FROM claims WHERE {_IN_HOSPITAL}",
-    "readmission_by_diagnosis": (
-        f"SELECT diagnosis_desc FROM claims WHERE {_IN_HOSPITAL} GROUP BY diagnosis_desc"
-        " HAVING count(*) >= 10 LIMIT 8"
-    ),
-    "readmission_by_year": f"SELECT DISTINCT service_year FROM claims WHERE {_IN_HOSPITAL}",
-    "payer_mix": "SELECT DISTINCT payer FROM claims",
-    "utilization_heatmap": "SELECT DISTINCT facility_type FROM claims",
-    "cost_trend": "SELECT DISTINCT service_year, service_month FROM claims",
-    "cost_trend_regional": "SELECT DISTINCT region, service_year FROM claims",
-    "denial_rates": "SELECT DISTINCT payer FROM claims",
-    "quality_stay_length": "SELECT DISTINCT region FROM quality",
-    "quality_er_visits": "SELECT DISTINCT region FROM quality",
-    "demographics_age": (
-        "SELECT DISTINCT band FROM (SELECT {band} AS band FROM patients"
-        " WHERE patient_id IN (SELECT patient_id FROM claims)) WHERE band IS NOT NULL"
-    ),
-    "demographics_chronic": (
-        "SELECT DISTINCT chronic_conditions FROM patients"
-        " WHERE patient_id IN (SELECT patient_id FROM claims)"
-    ),
-    "demographics_gender": "SELECT DISTINCT gender FROM patients",
-}
-
-
-def _panel_rows() -> str:
-    return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS panel, count(*) AS rows FROM ({query.format(band=_age_band())})"
-        for name, query in _PANEL_ROWS.items()
-    )
-
-
 _PATIENT_SUMMARY = f"""
 SELECT {_TRAITS}, count(claim_id) AS total_claims, {_total('cost_c')} AS total_cost,
        {_mean_of('cost_c')} AS avg_cost_per_claim, {_total('oop_c')} AS total_oop,
@@ -410,13 +373,174 @@ def _age_band() -> str:
     return f"CASE {whens} END"
 
 
+# --- digests of whole tables ------------------------------------------------
+
+# The columns of the tables that are written; `:d` marks doubles, `:m` money.
+_MART_COLUMNS = {
+    "claims_summary": (
+        "service_year service_quarter region payer facility_type diagnosis_desc claims avg_cost:d total_spend:d"
+        " total_paid:d readmissions readmit_pct:d"
+    ),
+    "regional_cost": "region service_year claims avg_cost:d total_spend:d",
+    "payer_analysis": "payer service_year claims avg_billed:d avg_paid:d denial_rate_pct:d",
+    "readmissions": (
+        "region service_year diagnosis_desc facility_type admits readmissions readmit_pct:d avg_cost:d"
+    ),
+    "quality_metrics": (
+        "region year total_claims avg_cost_per_claim:d total_spend:d readmission_rate_pct:d denial_rate_pct:d"
+        " avg_los_hospital:d er_visit_rate_pct:d"
+    ),
+    "patient_level": "patient_id age gender region payer chronic_conditions total_claims total_cost:d readmissions",
+}
+_TABLE_COLUMNS = {
+    "patients": "patient_id age gender region payer zip_code chronic_conditions enrollment_date",
+    "claims": (
+        "claim_id patient_id service_date service_year service_month service_quarter diagnosis_code diagnosis_desc"
+        " procedure_code procedure_desc facility_type region payer total_cost:m paid_amount:m patient_oop:m"
+        " length_of_stay readmission_30d claim_status"
+    ),
+    "quality_metrics": _MART_COLUMNS["quality_metrics"],
+}
+# Panel: the statement behind it, and its columns; YEARS and REGIONS are those of a matrix.
+_PANEL_COLUMNS = {
+    "kpi_summary": ("exec_kpis", "total_spend:d total_claims avg_cost:d readmit_rate:d denial_rate:d"),
+    "kpi_measures": (None, "measure value:d"),
+    "kpi_quarterly": (
+        "quarterly_kpis", "service_year service_quarter total_spend:d claims avg_cost:d readmissions"
+    ),
+    "kpi_monthly_spend": ("monthly_spend", "service_year service_month total_cost:d"),
+    "regional_cost": ("regional_cost", "region claims avg_cost:d min_cost:d max_cost:d total_spend:d"),
+    "regional_rank": ("region_cost_rank", "region avg_cost_per_claim:d cost_rank"),
+    "regional_change": ("yoy_avg_cost", "region service_year avg_cost:d yoy_change:d"),
+    "regional_spend_vs_readmission": (
+        "region_spend_vs_readmit", "region total_spend:d readmit_pct:d claims"
+    ),
+    "readmission_by_region": (
+        "readmit_by_region", "region hospital_claims readmissions readmission_rate_pct:d"
+    ),
+    "readmission_by_diagnosis": ("top_readmit_diagnoses", "diagnosis_desc readmit_pct:d admits"),
+    "readmission_by_year": (
+        "readmit_by_year", "service_year hospital_claims readmissions readmission_rate_pct:d"
+    ),
+    "readmission_matrix": ("readmit_matrix", "region YEARS"),
+    "payer_mix": (
+        "payer_mix", "payer claims claims_pct:d avg_billed:d avg_paid:d avg_oop:d coverage_pct:d"
+    ),
+    "utilization_heatmap": ("utilization_matrix", "facility_type REGIONS"),
+    "cost_trend": ("cost_trend", "service_year service_month avg_cost:d total_spend:d claims period"),
+    "cost_trend_regional": ("regional_yearly", "region service_year avg_cost:d"),
+    "denial_rates": ("denial_alert", "payer denial_rate_pct:d severity"),
+    "quality_stay_length": ("los_matrix", "region YEARS"),
+    "quality_stay_by_region": ("los_by_region", "region avg_los:d"),
+    "quality_er_visits": ("er_matrix", "region YEARS"),
+    "demographics_age": ("cost_by_age_group", "age_group avg_cost:d"),
+    "demographics_decades": ("age_decades", "age_decade patients avg_total_cost:d"),
+    "demographics_payer_region": ("payer_region_cost", "payer region total_cost:d"),
+    "demographics_chronic": ("cost_by_chronic", "chronic_conditions avg_cost:d"),
+    "demographics_gender": ("gender_mix", "gender patients pct:d"),
+}
+_MEASURES = {
+    "spend_m": "measure_spend_m", "total_claims": "measure_claims", "avg_cost_per_claim": "measure_avg_cost",
+    "readmission_rate_pct": "measure_readmit_pct", "spend_yoy_pct": "measure_spend_yoy",
+    "denial_rate_pct": "measure_denial_pct", "payer_coverage_pct": "payer_coverage",
+    "cost_per_readmission": "cost_per_readmission",
+}
+_SELECTED = {
+    "service_year": "service_year IN (1997, 1998)",
+    "region": "region IN ('Northeast', 'West')",
+    "payer": "payer IN ('Medicare', 'Aetna')",
+    "facility_type": "facility_type IN ('Hospital', 'ER')",
+}
+
+
+def _digest(key: str, name: str, statement: str, columns: str) -> str:
+    """Rows of a statement, and the exclusive or and the sum of their hashes."""
+
+    def text(column: str, kind: str) -> str:
+        value = f'"{column}"'
+        if kind:
+            value = f"CAST(round({value} * {10000 if kind == 'd' else 100}, 0) AS BIGINT)"
+        return f"coalesce(CAST({value} AS VARCHAR), '~')"
+
+    kinds = sorted((column.partition(":")[0], column.partition(":")[2]) for column in columns.split())
+    row = ", ".join(text(column, kind) for column, kind in kinds)
+    number = f"CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 15) AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS {key}, count(*) AS rows, CAST(coalesce(bit_xor(h), 0) AS BIGINT) AS hash_xor,"
+        f" {_int('coalesce(sum(h % 1000000007), 0)')} AS hash_sum FROM (SELECT {number} AS h FROM ({statement}))"
+    )
+
+
+def _columns(table: str) -> str:
+    return ", ".join(column.partition(":")[0] for column in _TABLE_COLUMNS[table].split())
+
+
+def _selected(statement: str, without: str = "") -> str:
+    """The statement over the selected claims, and the patients that have some of them."""
+    conditions = " AND ".join(each for name, each in _SELECTED.items() if name != without)
+    every = _PATIENTS.replace("patients AS (", "every_patient AS (")
+    claims = _CLAIMS.replace("LEFT JOIN patients ON", "LEFT JOIN every_patient ON")
+    claims = claims.replace("\nclaims AS (", "\nevery_claim AS (")
+    chosen = f"""
+claims AS (SELECT * FROM every_claim WHERE {conditions}),
+patients AS (
+  SELECT * FROM every_patient WHERE {_SELECTED['region']} AND {_SELECTED['payer']}
+    AND patient_id IN (SELECT patient_id FROM claims)
+)"""
+    assert f"{_PATIENTS},{_CLAIMS}" in statement
+    return statement.replace(f"{_PATIENTS},{_CLAIMS}", ",".join([every, claims, chosen]))
+
+
+def _digests(key: str, tables: dict[str, tuple[str, str]]) -> str:
+    return "\nUNION ALL ".join(_digest(key, name, *table) for name, table in tables.items())
+
+
+def _marts(known: dict[str, str], wrap: Callable[[str], str] = str) -> str:
+    return _digests(
+        "mart",
+        {
+            name: (wrap(known["mart_patient_level" if name == "patient_level" else f"mart_{name}"]), columns)
+            for name, columns in _MART_COLUMNS.items()
+        },
+    )
+
+
+def _panels(known: dict[str, str], selected: bool) -> str:
+    years, regions = ([1997, 1998], ["Northeast", "West"]) if selected else (_YEARS, _REGIONS)
+    matrix = {"YEARS": " ".join(f"{year}:d" for year in years), "REGIONS": " ".join(regions)}
+
+    def over(query: str) -> str:
+        if not selected:
+            return known[query]
+        without = {"measure_spend_yoy": "service_year", "region_cost_rank": "region"}.get(query, "")
+        query = {"measure_spend_yoy": "measure_spend_yoy_1998"}.get(query, query)
+        return _selected(known[query], without)
+
+    def statement(query: str | None) -> str:
+        if query is None:
+            return " UNION ALL ".join(
+                f"SELECT '{name}' AS measure, CAST({name} AS DOUBLE) AS value FROM ({over(each)})"
+                for name, each in _MEASURES.items()
+            )
+        found = over(query)
+        if query == "region_cost_rank" and selected:
+            found = f"SELECT * FROM ({found}) WHERE {_SELECTED['region']}"
+        return found
+
+    tables = {}
+    for name, (query, columns) in _PANEL_COLUMNS.items():
+        for word, values in matrix.items():
+            columns = columns.replace(word, values)
+        tables[name] = (statement(query), columns)
+    return _digests("panel", tables)
+
+
 def statements() -> dict[str, str]:
     """One SQL statement per query name."""
     spend = f"sum({_hundredths('total_spend')})"
     rules = {f"rule_{name}": _faulty(_rule(name, "faulty")) for name in _RULES}
-    return rules | {
+    known = rules | {
         # sources and sinks
-        "read_tables": _claims(_MONTHLY_VOLUME),
         "register_tables": _claims(
             f"""
             SELECT p.gender, count(*) AS claims, {_total('cost_c')} AS total_cost,
@@ -432,11 +556,6 @@ def statements() -> dict[str, str]:
             FROM claims WHERE service_year IN (1997, 1998) GROUP BY service_year, service_month"""
         ),
         "write_qc_report": _faulty(_report("faulty")),
-        "export_marts": (
-            _with(_SUMMARY, _REGIONAL, _PAYER, _STAYS, _QUALITY, _PATIENT_MART) + _MART_ROWS
-        ),
-        "export_dashboard": _quality(_panel_rows()),
-        "write_datasets": _quality(_TABLE_ROWS),
         # enrichment
         "enrich_calendar": _claims(
             "SELECT claim_id, service_date, service_year, service_month, service_quarter FROM claims"
@@ -526,10 +645,10 @@ def statements() -> dict[str, str]:
             FROM claims GROUP BY procedure_code, procedure_desc"""
         ),
         "utilization_matrix": _claims(
-            _matrix("claims", "facility_type", "region", "count(*)", "0")
+            _matrix("claims", "facility_type", "region", "count(*)", _REGIONS, "0")
         ),
         "utilization_matrix_faulty": _faulty(
-            _matrix("faulty", "facility_type", "region", "count(*)", "0")
+            _matrix("faulty", "facility_type", "region", "count(*)", [*_REGIONS, "Unknown"], "0")
         ),
         # cost
         "cost_by_payer": _claims(
@@ -642,7 +761,7 @@ def statements() -> dict[str, str]:
         "readmit_matrix": _claims(
             _matrix(
                 f"(SELECT * FROM claims WHERE {_IN_HOSPITAL})", "region", "service_year",
-                _pct("sum(readmission_30d)", "count(*)"),
+                _pct("sum(readmission_30d)", "count(*)"), _YEARS,
             )
         ),
         # denial
@@ -707,10 +826,10 @@ def statements() -> dict[str, str]:
         "quality_metrics": _quality("SELECT * FROM quality"),
         "sliced_quality": _quality("SELECT * FROM quality WHERE year = 1997"),
         "los_matrix": _quality(
-            _matrix("quality", "region", "year", "max(avg_los_hospital)", "0.0::DOUBLE")
+            _matrix("quality", "region", "year", "max(avg_los_hospital)", _YEARS, "0.0::DOUBLE")
         ),
         "er_matrix": _quality(
-            _matrix("quality", "region", "year", "max(er_visit_rate_pct)", "0.0::DOUBLE")
+            _matrix("quality", "region", "year", "max(er_visit_rate_pct)", _YEARS, "0.0::DOUBLE")
         ),
         "los_by_region": _quality(
             f"""
@@ -784,3 +903,20 @@ def statements() -> dict[str, str]:
         "mart_quality_metrics": _quality("SELECT * FROM quality"),
         "mart_patient_level": _with(_PATIENT_MART) + "\nSELECT * FROM patient_mart",
     }
+    stored = {
+        "patients": _claims(f"SELECT {_columns('patients')} FROM patients"),
+        "claims": _claims(f"SELECT {_columns('claims')} FROM claims"),
+        "quality_metrics": known["quality_metrics"],
+    }
+    datasets = _digests("table_name", {name: (stored[name], _TABLE_COLUMNS[name]) for name in stored})
+    hidden = known | {"measure_spend_yoy_1998": _summary(_spend_yoy("WHERE service_year IN (1997, 1998)"))}
+    return known | {
+        "enrich_codes_table": known["enrich_codes"],
+        "apply_rate_table": known["apply_rate_card"],
+        "read_tables": datasets,
+        "write_datasets": datasets,
+        "export_marts": _marts(known),
+        "export_marts_sliced": _marts(known, _selected),
+        "export_dashboard": _panels(hidden, selected=False),
+        "export_dashboard_sliced": _panels(hidden, selected=True),
+    }

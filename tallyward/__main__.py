@@ -5,8 +5,9 @@
 
 Both take the report filters: --service-year, --region, --payer, --facility-type.
 
-DATA holds `patients`, `claims` and, optionally, more as CSV with a header (or as
-parquet with --parquet).
+DATA holds `patients`, `claims` and, optionally, `quality_metrics` as CSV with a header (or
+as parquet with --parquet).  A quality table that is there is used as it is, if its regions
+and years are those of the claims; filters that it has no column for make it be computed.
 """
 
 from __future__ import annotations
@@ -14,14 +15,26 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.operators.quality import qc_report, qc_total_flags
-from tallyward.operators.slicing import SLICERS, slice_rows
+from tallyward.operators.slicing import SLICERS, Selection
+from tallyward.plans.quality_metrics import matching
 from tallyward.sinks import files
 from tallyward.sources.tables import read_table
 
 
+def stored_metrics(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
+    """The quality table at `path`, if there is one."""
+    try:
+        return read_table(spark, path, "quality_metrics", kind)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyward")
     parser.add_argument("job", choices=["validate", "analyze"])
@@ -41,18 +54,23 @@ def main(arguments: list[str] | None = None) -> None:
         read_table(spark, f"{options.data}/{name}", name, kind, strict=options.job == "validate")
         for name in ("claims", "patients")
     )
-    claims = slice_rows(claims, **{name: getattr(options, name) for name in SLICERS})
+    selection = Selection(**{name: getattr(options, name) for name in SLICERS})
     if options.job == "validate":
         target = f"{options.output}/data_validation_report"
-        files.write_qc_report(qc_report(claims, patients, options.as_of), target)
+        files.write_qc_report(qc_report(selection.on(claims), patients, options.as_of), target)
         schema = "check string, flagged_records bigint, status string"
         written = spark.read.schema(schema).option("header", True).csv(target)
         written.orderBy("check").show(truncate=False)
         print(f"Total flagged records: {qc_total_flags(written).first().total_flagged:,}")
     else:
-        cubes = files.build_cubes(claims)
-        files.export_dashboard(claims, patients, f"{options.output}/panels", options.csv, cubes)
-        files.export_marts(claims, patients, f"{options.output}/marts", options.csv, cubes)
+        cubes = files.build_cubes(claims, selection)
+        metrics = None
+        if not {"payer", "facility_type"} & set(selection.chosen()):
+            metrics = stored_metrics(spark, f"{options.data}/quality_metrics", kind)
+        if metrics is not None:
+            metrics = matching(selection.on(metrics), selection.on(cubes[0]))
+        for export, folder in ((files.export_dashboard, "panels"), (files.export_marts, "marts")):
+            export(claims, patients, f"{options.output}/{folder}", options.csv, cubes, metrics, selection)
 
 
 if __name__ == "__main__":

@@ -44,18 +44,30 @@ _MERGE = {"min_cents": F.min, "max_cents": F.max, "last_service_date": F.max}
 COST = ["claims", "cost_cents", "cost_rows"]
 
 
+#: Key of the column metadata that says which block a column holds.
+_MARK = "tallyward.block"
+
+
+def held_blocks(frame: DataFrame) -> dict[str, str]:
+    """The blocks that `frame` holds, and the column of each; none for raw claims."""
+    marks = {field.metadata.get(_MARK): field.name for field in frame.schema.fields}
+    return {block: column for block, column in marks.items() if block in BLOCKS}
+
+
 def rollup(frame: DataFrame, by: Sequence[str], blocks: Sequence[str]) -> DataFrame:
     """Group by `by` and compute the named blocks.
 
     `frame` holds raw claims, or an earlier roll-up that kept the columns of `by`
-    and these blocks; the latter is merged instead of recomputed.  A frame with some
+    and these blocks; the latter is merged instead of recomputed.  Blocks are marked in
+    the metadata of their columns, which Spark keeps through projections, joins and
+    Parquet files, so raw claims may have columns of any name.  A frame with some
     blocks but not all of these is neither, and an error.
     """
-    held = set(BLOCKS) & set(frame.columns)
-    if held and not set(blocks) <= held:
-        raise ValueError(f"the cube lacks {', '.join(sorted(set(blocks) - held))}")
-    if held:
-        measures = [_MERGE.get(name, F.sum)(name).alias(name) for name in blocks]
-    else:
-        measures = [BLOCKS[name]().alias(name) for name in blocks]
+    held = held_blocks(frame)
+    if held and not set(blocks) <= set(held):
+        raise ValueError(f"the cube lacks {', '.join(sorted(set(blocks) - set(held)))}")
+    measures = [
+        (_MERGE.get(name, F.sum)(held[name]) if held else BLOCKS[name]()).alias(name, metadata={_MARK: name})
+        for name in blocks
+    ]
     return frame.groupBy(*by).agg(*measures)

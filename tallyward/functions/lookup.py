@@ -15,6 +15,11 @@ def _text(value: object) -> str:
     return f"'{escaped}'"
 
 
+def quoted(name: str) -> str:
+    """A column's name as one part of an expression, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def lookup(key: Column, table: Mapping[str, object], data_type: str = "string") -> Column:
     """Value of `key` in `table`, NULL for an unknown key."""
     pairs = [f"{_text(name)}, CAST({_text(value)} AS {data_type})" for name, value in table.items()]

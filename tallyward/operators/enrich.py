@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyward.functions.lookup import lookup, nth_of
 from tallyward.schemas import DIAGNOSES, MONEY, PAID_SHARE, PROCEDURES, QUARTERS
+from tallyward.session import broadcast_if_small
 
 
 def quarter_label(date: str | Column) -> Column:
@@ -40,17 +41,51 @@ def enrich_codes(
     )
 
 
-def apply_rate_card(
-    claims: DataFrame, shares: Mapping[str, Decimal] = PAID_SHARE
-) -> DataFrame:
-    """Split `total_cost` into the payer's share and the patient's remainder."""
-    share = lookup(F.col("payer"), shares, "decimal(3,2)")
+def with_dimension(claims: DataFrame, dimension: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Add `columns` of `dimension` by `key`, NULL where it has no such key.
+
+    A key that the dimension has more than once fails the query, so that every claim stays one
+    row.  A small dimension is broadcast; beyond that adaptive execution splits hot keys.
+    """
+    double = F.concat(F.lit(f"the dimension has more than one row for {key} "), F.col(key).cast("string"))
+    single = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        *[
+            F.when(F.count(F.lit(1)) > 1, F.raise_error(double)).otherwise(F.first(column)).alias(column)
+            for column in columns
+        ]
+    )
+    plain = claims.drop(*columns)
+    order = [*claims.columns, *(column for column in columns if column not in claims.columns)]
+    return plain.join(broadcast_if_small(single, dimension), key, "left").select(*order)
+
+
+def enrich_codes_from(claims: DataFrame, diagnoses: DataFrame, procedures: DataFrame) -> DataFrame:
+    """`enrich_codes` with tables (diagnosis_code, diagnosis_desc) and (procedure_code, procedure_desc)."""
+    named = with_dimension(claims, diagnoses, "diagnosis_code", "diagnosis_desc")
+    return with_dimension(named, procedures, "procedure_code", "procedure_desc")
+
+
+def apply_rates_from(claims: DataFrame, rates: DataFrame) -> DataFrame:
+    """`apply_rate_card` with a table (payer, rate); rates are parts of one."""
+    share = F.col("_rate").cast("decimal(3,2)")
+    rated = with_dimension(claims, rates.select("payer", F.col("rate").alias("_rate")), "payer", "_rate")
+    return _split_cost(rated, share).drop("_rate")
+
+
+def _split_cost(claims: DataFrame, share: Column) -> DataFrame:
     paid = F.round(F.col("total_cost") * share, 2).cast(MONEY)
     return claims.withColumn("paid_amount", paid).withColumn(
         "patient_oop", (F.col("total_cost") - F.col("paid_amount")).cast(MONEY)
     )
 
 
+def apply_rate_card(
+    claims: DataFrame, shares: Mapping[str, Decimal] = PAID_SHARE
+) -> DataFrame:
+    """Split `total_cost` into the payer's share and the patient's remainder."""
+    return _split_cost(claims, lookup(F.col("payer"), shares, "decimal(3,2)"))
+
+
 def date_table(days: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """One row per calendar day for each `start`..`end` range in `days`."""
     every_day = F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day")))

@@ -105,9 +105,11 @@ def top_readmit_diagnoses(
     )
 
 
-def readmit_matrix(claims: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+def readmit_matrix(
+    claims: DataFrame, years: Sequence[int] | None = None, rest: str | None = None
+) -> DataFrame:
     """Readmission rate by region (rows) and year (columns), NULL where no stays."""
     rates = rollup(_hospital(claims), ["region", "service_year"], _RATE).select(
         "region", "service_year", _rate().alias("readmit_pct")
     )
-    return spread(rates, "region", "service_year", "readmit_pct", years)
+    return spread(rates, "region", "service_year", "readmit_pct", years, rest=rest)

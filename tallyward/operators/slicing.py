@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,3 +33,35 @@ def slice_rows(
         elif not skip_missing:
             raise ValueError(f"no column for the slicer {name}")
     return frame
+
+
+@dataclass(frozen=True)
+class Selection:
+    """The values chosen on a report page; they reach every table of the page."""
+
+    service_year: Iterable[int] | None = None
+    region: Iterable[str] | None = None
+    payer: Iterable[str] | None = None
+    facility_type: Iterable[str] | None = None
+
+    def chosen(self, without: Iterable[str] = ()) -> dict[str, Iterable]:
+        """The slicers that have values, except those of `without`."""
+        values = {name: getattr(self, name) for name in SLICERS if name not in without}
+        return {name: each for name, each in values.items() if each is not None}
+
+    def on(self, frame: DataFrame, without: Iterable[str] = ()) -> DataFrame:
+        """Claims, a cube or a mart under the selection."""
+        return slice_rows(frame, **self.chosen(without))
+
+    def on_patients(self, patients: DataFrame, per_patient: DataFrame) -> DataFrame:
+        """The patients of the selection.
+
+        Slicers that patients have a column for choose among all of them, also those
+        without claims.  The others choose through claims: patients stay that are in
+        `per_patient`, the selected claims by patient.
+        """
+        own = {name: each for name, each in self.chosen().items() if name in patients.columns}
+        kept = slice_rows(patients, **own)
+        if set(self.chosen()) - set(own):
+            kept = kept.join(per_patient.select("patient_id"), "patient_id", "left_semi")
+        return kept

@@ -72,10 +72,12 @@ def procedure_utilization(claims: DataFrame) -> DataFrame:
     )
 
 
-def utilization_matrix(claims: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
+def utilization_matrix(
+    claims: DataFrame, regions: Sequence[str] | None = None, rest: str | None = None
+) -> DataFrame:
     """Claim counts by facility type (rows) and region (columns), 0 where none.
 
-    All regions present get a column, unknown and NULL ones too.
+    All regions present get a column, unknown and NULL ones too; for `rest` see `spread`.
     """
     counts = rollup(claims, ["facility_type", "region"], ["claims"])
-    return spread(counts, "facility_type", "region", "claims", regions).fillna(0)
+    return spread(counts, "facility_type", "region", "claims", regions, 0, rest)

@@ -139,13 +139,15 @@ def mart_patient_level(claims: DataFrame, patients: DataFrame) -> DataFrame:
     return patient_level(claims, patients)
 
 
-def all_marts(cube: DataFrame, per_patient: DataFrame, patients: DataFrame) -> dict[str, DataFrame]:
-    """The six marts from the two cubes."""
+def all_marts(
+    cube: DataFrame, per_patient: DataFrame, patients: DataFrame, metrics: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The six marts from the two cubes; `metrics` is a quality table to pass on instead."""
     return {
         "claims_summary": mart_claims_summary(cube),
         "regional_cost": mart_regional_cost(cube),
         "payer_analysis": mart_payer_analysis(cube),
         "readmissions": mart_readmissions(cube),
-        "quality_metrics": mart_quality_metrics(cube),
+        "quality_metrics": mart_quality_metrics(cube) if metrics is None else metrics,
         "patient_level": mart_patient_level(per_patient, patients),
     }

@@ -15,6 +15,7 @@ from tallyward.functions.money import (
     percent_half_even,
     ratio,
 )
+from tallyward.schemas import QUALITY_METRICS
 
 BLOCKS = [
     *COST,
@@ -52,19 +53,37 @@ def present(blocks: DataFrame) -> DataFrame:
     )
 
 
+def matching(stored: DataFrame, claims: DataFrame) -> DataFrame:
+    """A stored quality table, if its regions and years are those of the claims."""
+    ours = rollup(claims, ["region", "service_year"], ["claims"]).select(
+        "region", F.col("service_year").alias("year"), F.lit(1).alias("side")
+    )
+    sides = ours.unionByName(stored.select("region", "year", F.lit(2).alias("side")))
+    unlike = sides.groupBy("region", "year").agg(F.sort_array(F.collect_list("side")).alias("sides"))
+    found = unlike.filter(F.col("sides") != F.array(F.lit(1), F.lit(2))).limit(5).collect()
+    if found:
+        rows = [f"{row['region']} {row['year']}" for row in found]
+        raise ValueError(f"the quality table and the claims differ at {', '.join(rows)}")
+    return stored.select(*QUALITY_METRICS.names)
+
+
 def yearly_matrix(
-    metrics: DataFrame, measure: str, years: Sequence[int] | None = None
+    metrics: DataFrame, measure: str, years: Sequence[int] | None = None, rest: str | None = None
 ) -> DataFrame:
     """`measure` by region (rows) and year (columns), 0 where there is no row."""
-    return spread(metrics, "region", "year", measure, years).fillna(0.0)
+    return spread(metrics, "region", "year", measure, years, 0.0, rest)
 
 
-def los_matrix(metrics: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    return yearly_matrix(metrics, "avg_los_hospital", years)
+def los_matrix(
+    metrics: DataFrame, years: Sequence[int] | None = None, rest: str | None = None
+) -> DataFrame:
+    return yearly_matrix(metrics, "avg_los_hospital", years, rest)
 
 
-def er_matrix(metrics: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    return yearly_matrix(metrics, "er_visit_rate_pct", years)
+def er_matrix(
+    metrics: DataFrame, years: Sequence[int] | None = None, rest: str | None = None
+) -> DataFrame:
+    return yearly_matrix(metrics, "er_visit_rate_pct", years, rest)
 
 
 def los_by_region(metrics: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from tallyward.plans.dashboard import PANEL_BLOCKS, PANEL_KEYS, dashboard
+from tallyward.operators.slicing import Selection
+from tallyward.plans.dashboard import CONTEXT, PANEL_BLOCKS, PANEL_KEYS, dashboard
 from tallyward.plans.marts import all_marts, claims_cube, patient_cube
 from tallyward.session import materialize
 
@@ -60,10 +61,18 @@ def write_all(frames: Mapping[str, DataFrame], root: str, csv: bool = False) ->
         list(pool.map(inheritable_thread_target(session)(write), frames.items()))
 
 
-def build_cubes(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The category and the patient cube behind all marts and panels: two scans."""
-    cube = claims_cube(claims, PANEL_KEYS, PANEL_BLOCKS)
-    return materialize(cube), materialize(patient_cube(claims))
+Cubes = tuple[DataFrame, DataFrame]
+
+
+def build_cubes(claims: DataFrame, selection: Selection | None = None) -> Cubes:
+    """The category and the patient cube behind all marts and panels: two scans.
+
+    The patient cube is of the selected claims.  The category cube has the slicers that
+    measures look beyond among its keys; the others reach the scan.
+    """
+    selection = selection or Selection()
+    cube = claims_cube(selection.on(claims, CONTEXT), PANEL_KEYS, PANEL_BLOCKS)
+    return materialize(cube), materialize(patient_cube(selection.on(claims)))
 
 
 def export_marts(
@@ -71,14 +80,21 @@ def export_marts(
     patients: DataFrame,
     root: str,
     csv: bool = False,
-    cubes: tuple[DataFrame, DataFrame] | None = None,
+    cubes: Cubes | None = None,
+    metrics: DataFrame | None = None,
+    selection: Selection | None = None,
 ) -> list[str]:
     """Write all six marts below `root` and return their names.
 
-    `cubes` are those of `build_cubes`, if they are there already.
+    `cubes` are those of `build_cubes` for the same selection, if they are there already;
+    `metrics` is a quality table of the selection.
     """
-    cube, per_patient = cubes or (materialize(claims_cube(claims)), patient_cube(claims))
-    marts = all_marts(cube, per_patient, patients)
+    selection = selection or Selection()
+    if cubes is None:
+        claims = selection.on(claims)
+        cubes = materialize(claims_cube(claims)), patient_cube(claims)
+    cube, per_patient = cubes
+    marts = all_marts(selection.on(cube), per_patient, selection.on_patients(patients, per_patient), metrics)
     write_all(marts, root, csv)
     return list(marts)
 
@@ -88,10 +104,11 @@ def export_dashboard(
     patients: DataFrame,
     root: str,
     csv: bool = False,
-    cubes: tuple[DataFrame, DataFrame] | None = None,
+    cubes: Cubes | None = None,
     metrics: DataFrame | None = None,
+    selection: Selection | None = None,
 ) -> list[str]:
     """Write the data of all dashboard panels below `root` and return their names."""
-    panels = dashboard(*(cubes or build_cubes(claims)), patients, metrics)
+    panels = dashboard(*(cubes or build_cubes(claims, selection)), patients, metrics, selection)
     write_all(panels, root, csv)
     return list(panels)
