@@ -1,9 +1,9 @@
 """Audit of how document filters interact, over a sparse document-term matrix.
 
-`write_matrix` keeps the matrix as compressed rows (CSR): a shard has the counts of some
-documents' words, and columns are numbers of one dictionary over all documents.  A shard
-first numbers its words itself; only its distinct words, not their occurrences, are joined
-with the dictionary, so a word that all documents share is one row per shard.
+The matrix is kept as compressed rows (CSR): a shard has the counts of some documents' words,
+and columns are numbers of one dictionary over all documents.  A shard first numbers its
+words itself; only its distinct words, not their occurrences, move to be numbered over all
+shards, so a word that all documents share is one row per shard.
 
 Five filters are judged for every document: A and B by the matrix (row sums and numbers of
 nonzero cells), C and D by characters, E by the least id among equal texts.  What a document
@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -37,13 +38,22 @@ FILTERS = "ABCDE"
 BITS = {name: 1 << at for at, name in enumerate(FILTERS)}
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
 #: Bytes of text that a shard has about.
-SHARD = 1 << 21
+SHARD = 1 << 24
 
 _SYMBOL = re.compile(rb"[#$%&*|]")
 _NO_CAPITAL = bytes(set(range(256)) - set(range(65, 91)))
 _LATER_BYTE = bytes(range(0x80, 0xC0))
 
-_LOCAL = (
+#: Of the documents of a shard, and where the row of each starts.
+_ROWS = [
+    ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("fails", pa.list_(pa.int32())),
+    ("digests", pa.list_(pa.binary())), ("starts", pa.list_(pa.int64())),
+]
+_LOCAL = pa.schema(
+    [("shard", pa.int64()), ("words", pa.list_(pa.binary())), *_ROWS]
+    + [("columns", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
+)
+_LOCAL_DDL = (
     "shard long, words array<binary>, ids array<long>, parts array<string>, fails array<int>, "
     "digests array<binary>, starts array<long>, columns array<int>, counts array<int>"
 )
@@ -52,6 +62,7 @@ MATRIX = (
     "shard long, ids array<long>, parts array<string>, fails array<int>, digests array<binary>, "
     "starts array<long>, columns array<long>, counts array<int>"
 )
+_COUNTED = "id long, part string, digest binary, fails int, n_words long, n_distinct long"
 
 
 def fails_by_characters(text: bytes) -> int:
@@ -60,94 +71,149 @@ def fails_by_characters(text: bytes) -> int:
     return BITS["C"] * shouts + BITS["D"] * bool(_SYMBOL.search(text))
 
 
-def compress(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The texts' distinct words, where each text's row starts, columns and counts."""
-    words = [text.split() for text in texts]
-    number: dict[bytes, int] = {}
-    flat = [number.setdefault(word, len(number)) for word in chain.from_iterable(words)]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    row = np.repeat(np.arange(len(words)), sizes)
-    width = max(1, len(number))
-    cells, counts = np.unique(row * width + np.array(flat, np.int64), return_counts=True)
-    starts = np.searchsorted(cells, np.arange(len(words) + 1) * width)
-    return list(number), starts, cells % width, counts
+class Shard:
+    """Documents' words as compressed rows; columns are numbers of the shard's own words."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.documents: tuple[list, ...] = ([], [], [], [])  # ids, parts, fails, digests
+        self.sizes: list[np.ndarray] = []
+        self.columns: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+
+    def add(self, ids: list, parts: list, texts: list[bytes]) -> None:
+        number = self.number
+        words = [text.split() for text in texts]
+        flat = [number.setdefault(word, len(number)) for word in chain.from_iterable(words)]
+        row = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        width = max(1, len(number))
+        cells, counts = np.unique(row * width + np.array(flat, np.int64), return_counts=True)
+        row, columns = np.divmod(cells, width)
+        fails = [fails_by_characters(text) for text in texts]
+        digests = [hashlib.sha256(text).digest() for text in texts]
+        for own, values in zip(self.documents, (ids, parts, fails, digests), strict=True):
+            own += values
+        self.sizes.append(np.bincount(row, minlength=len(words)))
+        self.columns.append(columns.astype(np.int32))
+        self.counts.append(counts.astype(np.int32))
+
+    def batch(self, shard: int) -> pa.RecordBatch:
+        starts = np.append(0, np.cumsum(np.concatenate(self.sizes)))
+        cells = [np.concatenate(part) for part in (self.columns, self.counts)]
+        values = [shard, list(self.number), *self.documents, starts, *cells]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([value], field.type) for value, field in zip(values, _LOCAL, strict=True)], schema=_LOCAL
+        )
 
 
-def _local_shards(docs: DataFrame, part: Column, id_col: str, text_col: str) -> DataFrame:
+def local_shards(docs: DataFrame, part: Column, id_col: str, text_col: str) -> DataFrame:
     """Shards whose columns are numbers of their own words, in order of first occurrence."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [("shard", pa.int64()), ("words", pa.list_(pa.binary())), ("ids", pa.list_(pa.int64()))]
-            + [("parts", pa.list_(pa.string())), ("fails", pa.list_(pa.int32())), ("digests", pa.list_(pa.binary()))]
-            + [("starts", pa.list_(pa.int64())), ("columns", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
-        )
-        shard = TaskContext.get().partitionId() << 33
+        number, shard, held = TaskContext.get().partitionId() << 33, Shard(), 0
         for batch in batches:
             ids, parts = (batch.column(at).to_pylist() for at in (0, 1))
             texts = [(text or "").encode() for text in batch.column(2).to_pylist()]
-            for a, b in by_bytes(texts, SHARD):
-                some = texts[a:b]
-                words, *rows = compress(some)
-                fails = [fails_by_characters(text) for text in some]
-                digests = [hashlib.sha256(text).digest() for text in some]
-                values = [shard, words, ids[a:b], parts[a:b], fails, digests, *rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([value], field.type) for value, field in zip(values, schema, strict=True)], schema=schema
-                )
-                shard += 1
+            for a, b in by_bytes(texts):
+                shard.add(ids[a:b], parts[a:b], texts[a:b])
+                held += sum(map(len, texts[a:b]))
+                if held >= SHARD:
+                    yield shard.batch(number)
+                    number, shard, held = number + 1, Shard(), 0
+        if shard.sizes:
+            yield shard.batch(number)
 
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), part.alias("part"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, _LOCAL)
+    return chosen.mapInArrow(run, _LOCAL_DDL)
+
 
+def number_words(local: DataFrame) -> DataFrame:
+    """(of, place, number, word): the number of each shard's words over all shards; the word
+    itself is on one row of each number, so that those rows are the dictionary.
 
-def _with_global_columns(numbers: pa.Table, shard: pa.Table) -> pa.Table:
-    """A shard whose columns are the dictionary's; `numbers` are (of, place, number)."""
+    Rows are numbered in the order of words in their task, so a task that runs again gives
+    the same numbers, and no word's rows are held together.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, last = TaskContext.get().partitionId() << 40, None
+        for batch in batches:
+            words = batch.column(2)
+            if not len(words):
+                continue
+            new = np.append(words[0].as_py() != last, pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)))
+            new = new.astype(bool)
+            numbers = number + np.cumsum(new)
+            number, last = int(numbers[-1]), words[-1].as_py()
+            kept = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(numbers), kept], names=["of", "place", "number", "word"]
+            )
+
+    words = local.select(F.col("shard").alias("of"), F.posexplode("words").alias("place", "word"))
+    ordered = words.repartition("word").sortWithinPartitions("word")
+    return ordered.mapInArrow(run, "of long, place int, number long, word binary")
+
+
+def _global_rows(numbers: pa.Table, shard: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the shard's rows start, columns by the dictionary, ascending in a row, and counts."""
     number = np.empty(numbers.num_rows, np.int64)
     number[numbers["place"].to_numpy()] = numbers["number"].to_numpy()
     starts, columns, counts = (shard[name].combine_chunks().values.to_numpy() for name in ("starts", "columns", "counts"))
-    columns = number[columns]
+    # Numbers ascend with their rank, so that places by rank sort as they do.
+    rank = np.empty(len(number), np.int64)
+    rank[np.argsort(number)] = np.arange(len(number))
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    order = np.lexsort((columns, row))
-    kept = shard.drop_columns(["words", "columns", "counts"])
-    for name, values in (("columns", columns[order]), ("counts", counts[order])):
+    order = np.argsort(row * max(1, len(number)) + rank[columns])
+    return starts, number[columns[order]], counts[order]
+
+
+def _global_shard(numbers: pa.Table, shard: pa.Table) -> pa.Table:
+    _, columns, counts = _global_rows(numbers, shard)
+    kept = shard.select(["shard", *(name for name, _ in _ROWS)])
+    for name, values in (("columns", columns), ("counts", counts)):
         kept = kept.append_column(name, pa.array([values], pa.list_(pa.from_numpy_dtype(values.dtype))))
     return kept
 
 
+def _counted_rows(numbers: pa.Table, shard: pa.Table) -> pa.Table:
+    starts, columns, counts = _global_rows(numbers, shard)
+    total = np.append(0, np.cumsum(counts.astype(np.int64)))
+    # A row's nonzero cells are its distinct columns, which ascend.
+    new = np.append(True, columns[1:] != columns[:-1])[: len(columns)]
+    new[starts[:-1][np.diff(starts) > 0]] = True
+    distinct = np.append(0, np.cumsum(new))
+    own = [shard[name].combine_chunks().values for name in ("ids", "parts", "digests", "fails")]
+    sums = [pa.array(np.diff(each[starts])) for each in (total, distinct)]
+    return pa.table([*own, *sums], names=["id", "part", "digest", "fails", "n_words", "n_distinct"])
+
+
+def _with_numbers(local: DataFrame, numbers: DataFrame, work: Callable, schema: str) -> DataFrame:
+    shards = local.drop("words").groupBy("shard")
+    return numbers.select("of", "place", "number").groupBy("of").cogroup(shards).applyInArrow(work, schema)
+
+
 def write_matrix(
     docs: DataFrame, target: str, part: Column, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
     """The dictionary (word, number) and the matrix (`MATRIX`), written to `target`."""
     spark = docs.sparkSession
-    _local_shards(docs, part, id_col, text_col).write.parquet(f"{target}/local")
+    local_shards(docs, part, id_col, text_col).write.parquet(f"{target}/local")
     local = spark.read.parquet(f"{target}/local")
-    words = local.select(F.col("shard").alias("of"), F.posexplode("words").alias("place", "word"))
-    distinct = words.select("word").distinct()
-    distinct.withColumn("number", F.monotonically_increasing_id()).write.parquet(f"{target}/dictionary")
-    dictionary = spark.read.parquet(f"{target}/dictionary")
-    numbers = words.join(dictionary, "word").select("of", "place", "number")
-    matrix = numbers.groupBy("of").cogroup(local.groupBy("shard")).applyInArrow(_with_global_columns, MATRIX)
-    matrix.write.parquet(f"{target}/matrix")
-    return dictionary, spark.read.parquet(f"{target}/matrix")
+    number_words(local).write.parquet(f"{target}/numbers")
+    numbers = spark.read.parquet(f"{target}/numbers")
+    _with_numbers(local, numbers, _global_shard, MATRIX).write.parquet(f"{target}/matrix")
+    return numbers.filter("word IS NOT NULL").select("word", "number"), spark.read.parquet(f"{target}/matrix")
 
 
-def row_counts(matrix: DataFrame) -> DataFrame:
-    """Per document: id, part, digest, fails, and n_words and n_distinct from its row."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "part", "digest", "fails", "n_words", "n_distinct"]
-        for batch in batches:
-            for at in range(batch.num_rows):
-                ids, parts, digests, fails, starts, counts = (column[at].values for column in batch.columns)
-                starts, total = starts.to_numpy(), np.append(0, np.cumsum(counts.to_numpy().astype(np.int64)))
-                sums = [pa.array(np.diff(total[starts])), pa.array(np.diff(starts))]
-                yield pa.RecordBatch.from_arrays([ids, parts, digests, fails, *sums], names=names)
-
-    chosen = matrix.select("ids", "parts", "digests", "fails", "starts", "counts")
-    return chosen.mapInArrow(
-        run, "id long, part string, digest binary, fails int, n_words long, n_distinct long"
-    )
+def row_counts(
+    docs: DataFrame, target: str, part: Column, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document: id, part, digest, fails, and n_words and n_distinct from its row of the
+    matrix, which is not kept."""
+    local_shards(docs, part, id_col, text_col).write.parquet(f"{target}/local")
+    local = docs.sparkSession.read.parquet(f"{target}/local")
+    return _with_numbers(local, number_words(local), _counted_rows, _COUNTED)
 
 
 def _by_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -236,9 +302,9 @@ def filter_audit(
     spark: SparkSession = docs.sparkSession
     target = scratch_path(spark, "audit")
     part = F.coalesce(F.col(part_col).cast("string"), F.lit(""))
-    _, matrix = write_matrix(docs, target, part, id_col, text_col)
-    rows = row_counts(matrix)
+    rows = row_counts(docs, target, part, id_col, text_col)
     short = F.when(F.col("n_words") < LEAST_WORDS, BITS["A"]).otherwise(0)
     repeats = F.when(100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"), BITS["B"]).otherwise(0)
     judged = rows.select("id", "part", "digest", (F.col("fails") + short + repeats).alias("fails"))
-    return audit_orders(_count_sets(_by_labels(judged, labels)))
+    judged.write.parquet(f"{target}/judged")
+    return audit_orders(_count_sets(_by_labels(spark.read.parquet(f"{target}/judged"), labels)))
