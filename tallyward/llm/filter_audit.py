@@ -51,11 +51,11 @@ _ROWS = [
 ]
 _LOCAL = pa.schema(
     [("shard", pa.int64()), ("words", pa.list_(pa.binary())), *_ROWS]
-    + [("columns", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
+    + [("columns", pa.binary()), ("counts", pa.binary())]
 )
 _LOCAL_DDL = (
     "shard long, words array<binary>, ids array<long>, parts array<string>, fails array<int>, "
-    "digests array<binary>, starts array<long>, columns array<int>, counts array<int>"
+    "digests array<binary>, starts array<long>, columns binary, counts binary"
 )
 #: A shard: its documents, where the row of each starts, columns in ascending order, counts.
 MATRIX = (
@@ -71,6 +71,15 @@ def fails_by_characters(text: bytes) -> int:
     return BITS["C"] * shouts + BITS["D"] * bool(_SYMBOL.search(text))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers by place of their bytes, which leaves runs of zeros to the compression."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
 class Shard:
     """Documents' words as compressed rows; columns are numbers of the shard's own words."""
 
@@ -99,8 +108,12 @@ class Shard:
 
     def batch(self, shard: int) -> pa.RecordBatch:
         starts = np.append(0, np.cumsum(np.concatenate(self.sizes)))
-        cells = [np.concatenate(part) for part in (self.columns, self.counts)]
-        values = [shard, list(self.number), *self.documents, starts, *cells]
+        columns, counts = (np.concatenate(part) for part in (self.columns, self.counts))
+        # Columns ascend in a row, so all but a row's first are steps from the one before.
+        steps = np.diff(columns, prepend=0)
+        first = starts[:-1][np.diff(starts) > 0]
+        steps[first] = columns[first]
+        values = [shard, list(self.number), *self.documents, starts, planes(steps), planes(counts)]
         return pa.RecordBatch.from_arrays(
             [pa.array([value], field.type) for value, field in zip(values, _LOCAL, strict=True)], schema=_LOCAL
         )
@@ -159,7 +172,11 @@ def _global_rows(numbers: pa.Table, shard: pa.Table) -> tuple[np.ndarray, np.nda
     """Where the shard's rows start, columns by the dictionary, ascending in a row, and counts."""
     number = np.empty(numbers.num_rows, np.int64)
     number[numbers["place"].to_numpy()] = numbers["number"].to_numpy()
-    starts, columns, counts = (shard[name].combine_chunks().values.to_numpy() for name in ("starts", "columns", "counts"))
+    starts = shard["starts"].combine_chunks().values.to_numpy()
+    steps, counts = (from_planes(shard[name][0].as_py()) for name in ("columns", "counts"))
+    total = np.cumsum(steps)
+    first = starts[:-1][np.diff(starts) > 0]
+    columns = total - np.repeat(total[first] - steps[first], np.diff(np.append(first, len(total))))
     # Numbers ascend with their rank, so that places by rank sort as they do.
     rank = np.empty(len(number), np.int64)
     rank[np.argsort(number)] = np.arange(len(number))
@@ -170,6 +187,7 @@ def _global_rows(numbers: pa.Table, shard: pa.Table) -> tuple[np.ndarray, np.nda
 
 def _global_shard(numbers: pa.Table, shard: pa.Table) -> pa.Table:
     _, columns, counts = _global_rows(numbers, shard)
+    counts = counts.astype(np.int32)
     kept = shard.select(["shard", *(name for name, _ in _ROWS)])
     for name, values in (("columns", columns), ("counts", counts)):
         kept = kept.append_column(name, pa.array([values], pa.list_(pa.from_numpy_dtype(values.dtype))))
