@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from tallyward.llm import decontaminate, lm_score, pii_crf, quality_rules, simhash_dedup
-from tallyward.llm.attention_model import CLASSES, END_CLASS, STARTS, Attention
+from tallyward.llm.attention_model import CLASSES, END_CLASS, STARTS, Attention, Windows, count_steps
 from tallyward.llm.pii_tables import sentences
 from tests.llm.conftest import DOCS
 
@@ -227,7 +227,8 @@ def test_attention_sums_to_one_and_learns():
     stream = np.tile(np.array([1, 70, 2, 80, END_CLASS], np.uint8), 200)
     net = Attention()
     lengths = np.full(200, 5)
-    net.train(stream, lengths, rounds=2)
+    net.start(count_steps(stream))
+    net.descend(stream, Windows.over(stream, lengths), 2)
     own, _ = net.log_probabilities(stream, lengths)
     assert own.mean() > -0.3
     # All classes at one place: the probabilities add up to one, of begins to `begin`.

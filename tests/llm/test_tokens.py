@@ -3,14 +3,16 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyward.llm import bpe_codec, byte_bpe, lm_score, token_counts, token_files
-from tallyward.llm.attention_model import CLASSES, count_steps
+from tallyward.llm.attention_model import CLASSES, CONTEXT, SPAN, STRIDE
 from tests.llm.conftest import DOCS
 
 WORD, BYTE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -124,53 +126,134 @@ def test_words_across_line_ends_are_not_remembered():
 
 @pytest.fixture(scope="module")
 def trained(spark, docs, tmp_path_factory):
-    """A fit on more than 400 texts, with the head cut to 30 words."""
+    """A fit on more than 700 texts, with the head cut to 30 words and many shards."""
     rows = [(n, f"alpha beta w{n}x gamma{n % 7} " + "tail ends " * (n % 3)) for n in range(900)]
+    rows.append((1001, "a long one " * 400))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     texts = [text for n, text in rows if zlib.crc32(str(n).encode()) % 7 != 2]
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(lm_score, "HEAD", 30)
+        patch.setattr(lm_score, "SHARD_WINDOWS", 8)
         model, distinct, words = lm_score.fit(frame, str(tmp_path_factory.mktemp("lm")), BYTE)
     return frame, texts, model, distinct, words
 
 
-def test_tables_come_from_all_training_texts(trained, monkeypatch):
-    _, texts, model, *_ = trained
-    steps = np.zeros(CLASSES * CLASSES, np.int64)
-    codes = np.append(model.classes, np.uint8(lm_score.END_CLASS))
-    for stream in lm_score.Spelling(BYTE).streams(texts):
-        steps += count_steps(codes[stream])
-    seen = []
-    monkeypatch.setattr(lm_score.Attention, "start", lambda self, found: seen.append(found))
-    monkeypatch.setattr(lm_score, "ROUNDS", 0)
-    frame = trained[0]
-    chosen = frame.filter(~lm_score.held_out(frame.doc_id)).select(frame.doc_id.alias("id"), "text")
-    lm_score.fit_attention(chosen, 1e6, model.classes, BYTE, lm_score.scratch_path(frame.sparkSession, "lm"))
-    assert len(texts) > 400 and (seen[0] == steps).all()
-    fitted = [units / lm_score.every_so_many(units) for units in (1e4, 1e6, 1e7, 1e8, 1e9, 1e10)]
-    assert all(b > 2.5 * a for a, b in zip(fitted, fitted[1:], strict=False))
-
-
-def test_every_pair_counts_and_the_end_is_known(trained):
+def test_counts_and_shares_come_from_all_training_texts(trained):
     _, texts, model, distinct, words = trained
-    counts = {}
-    for text in texts:
-        for word in text.split():
-            counts[word] = counts.get(word, 0) + 1
-    assert distinct == len(counts) + 1 and model.head[lm_score.END] == (len(texts), 0.0)
-    bpe = byte_bpe.encoder(BYTE)
-    found = {row["word"]: (row["c"], row["inside"]) for row in words.collect()}
-    spelled = {word: lm_score.split_words(bpe, [word])[0].tolist() for word in found if word}
-    size = 2 * bpe.size
-    single, pair, group = np.ones(size), {}, {}
-    for word, units in spelled.items():
-        for before, unit in zip([None, *units], units, strict=False):
-            single[unit] += counts.get(word, 0)
-            for held, key in ((pair, (before, unit)), (group, (before, model.classes[unit]))):
-                held[key] = held.get(key, 0) + counts.get(word, 0)
-    plain = single / np.bincount(model.classes, single, minlength=CLASSES)[model.classes]
-    for word, units in spelled.items():
-        inside = np.log(plain[units[0]])
-        for before, unit in zip(units, units[1:], strict=False):
-            inside += np.log((pair[before, unit] + 5 * plain[unit]) / (group[before, model.classes[unit]] + 5))
-        assert found[word] == (counts.get(word, 0), pytest.approx(inside)), word
+    counts = Counter(word for text in texts for word in text.split())
+    assert {row["word"]: row["c"] for row in words.collect()} == counts | {"": len(texts)}
+    assert distinct == len(counts) + 1 and model.head[lm_score.END] == len(texts)
+    assert len(model.head) <= 31 and model.tokens == counts.total() + len(texts)
+    shares, end = model.shares, len(model.shares.classes) - 1
+    single, pair, group = Counter(), Counter(), Counter()
+    for stream in lm_score.Spelling(BYTE).streams(texts):
+        stream = stream.tolist()
+        for before, unit in zip([end, *stream], stream, strict=False):
+            single[unit] += 1
+            pair[shares.group[before], unit] += 1
+            group[shares.group[before], shares.classes[unit]] += 1
+    of_class = Counter()
+    for unit in range(end):
+        of_class[shares.classes[unit]] += single[unit] + 1
+    for before in [end, *list(single)[:40], 5]:
+        for unit in [*list(single)[:40], 7, 60_000]:
+            if unit == end:
+                continue
+            plain = (single[unit] + 1) / of_class[shares.classes[unit]]
+            part = pair[shares.group[before], unit] + lm_score.PLAIN * plain
+            whole = group[shares.group[before], shares.classes[unit]] + lm_score.PLAIN
+            found = shares.logs(np.array([before]), np.array([unit]))[0]
+            assert found == pytest.approx(np.log(part / whole), abs=1e-4)
+
+
+def test_the_fit_sees_a_fixed_share_of_all_windows(spark, trained, monkeypatch):
+    frame, *_ = trained
+    texts = frame.select("text", F.xxhash64("text").bitwiseAND((1 << 30) - 1).alias("place"))
+    first = np.zeros(2 * byte_bpe.encoder(BYTE).size, np.uint8)
+    rows = lm_score.gather(texts, first, BYTE, 5).filter("kind = 'window'").collect()
+    assert {row["key"] for row in rows} == set(range(5))
+    found = [np.frombuffer(row["data"], "<i4").reshape(-1, SPAN + 1) for row in rows]
+    assert sum(map(len, found)) == sum(row["c"] for row in rows)
+    streams = dict(zip([row["text"] for row in texts.collect()], lm_score.Spelling(BYTE).streams([row["text"] for row in texts.collect()]), strict=True))
+    wanted = Counter()
+    for row in texts.collect():
+        stream = streams[row["text"]].tolist()
+        for turn in range(row["place"] % lm_score.EVERY, -(-len(stream) // STRIDE), lm_score.EVERY):
+            begin = turn * STRIDE - CONTEXT - 1
+            wanted[tuple(stream[at] if 0 <= at < len(stream) else -1 for at in range(begin, begin + SPAN + 1))] += 1
+    assert wanted == Counter(tuple(window.tolist()) for part in found for window in part)
+
+
+def test_scores_word_by_word(trained):
+    """The model's probabilities, place by place without windows in batches."""
+    _, _, model, *_ = trained
+    shares, net, end = model.shares, model.net, len(model.shares.classes) - 1
+
+    def place(units, at):
+        """Probabilities of all classes, and of a begin, at one place of a text."""
+        seen = [int(shares.classes[unit]) for unit in [end, *units]]
+        first = max(0, at // STRIDE * STRIDE - CONTEXT)
+        query = net.query[seen[at]].astype(float)
+        weight = np.array(
+            [np.exp(query @ np.clip(net.key[seen[j]], -9, 9) + net.near[at - j]) for j in range(first, at + 1)]
+        )
+        hidden = weight @ net.value[seen[first : at + 1]] / weight.sum()
+        begin = 1 / (1 + np.exp(-(hidden @ net.out_gate + net.gate[seen[at]])))
+        starts = np.exp(net.starts[seen[at]] + hidden @ net.out_starts)
+        rest = np.exp(net.rest[seen[at]] + hidden @ net.out_rest)
+        return np.append(begin * starts / starts.sum(), (1 - begin) * rest / rest.sum()), begin
+
+    lexicon = lm_score.Lexicon(model)
+    for text in ("alpha beta w3x gamma1 tail ends", "", "new Words, alpha\n\tgamma9 " + "beta " * 40):
+        words = [*text.encode().lower().split(), b""]
+        index = lexicon.look_up([words[:-1]])[0]
+        units, lengths = lexicon.units(index)
+        units, at, logs = units.tolist(), 0, []
+        for word, length in zip(words, lengths, strict=True):
+            chance = 1 / place(units, at)[1]
+            for _ in range(length):
+                share = 1.0 if units[at] == end else np.exp(shares.logs(np.array([([end, *units])[at]]), np.array([units[at]])))[0]
+                chance *= place(units, at)[0][shares.classes[units[at]]] * share
+                at += 1
+            if word:
+                chance *= place(units, at)[1]
+            count = model.head.get(word, 0)
+            logs.append(np.log10(lm_score.SHARE * count / model.tokens + (1 - lm_score.SHARE) * chance))
+        sizes, n_known, _, score, tail = lm_score.score_texts(lexicon, [text])
+        outside = [(word, log) for word, log in zip(words, logs, strict=True) if word not in model.head]
+        assert sizes.to_pylist() == [len(words)] and n_known.to_pylist() == [len(words) - len(outside)]
+        inside = sum(log for word, log in zip(words, logs, strict=True) if word in model.head)
+        assert score[0].as_py() == pytest.approx(inside, abs=1e-3)
+        found = [(each["word"], each["spelled"] / np.log(10) + np.log10(1 - lm_score.SHARE)) for each in tail[0].as_py()]
+        assert [word for word, _ in found] == [word for word, _ in outside]
+        assert [log for _, log in found] == pytest.approx([log for _, log in outside], abs=1e-3)
+
+
+def test_gradients_against_differences():
+    draw = np.random.default_rng(4)
+    net = lm_score.Attention()
+    lengths = np.array([30, 3, 25])
+    stream = draw.integers(0, CLASSES, lengths.sum()).astype(np.uint8)
+    windows = lm_score.Windows.over(stream, lengths)
+    some = np.arange(len(windows.seen))
+    for name in net.parts:
+        setattr(net, name, (getattr(net, name) + draw.standard_normal(getattr(net, name).shape) / 5).astype(np.float64))
+    found = net._gradients(stream, windows, some)
+    for name in net.parts:
+        own = getattr(net, name)
+        for at in draw.integers(0, own.size, 12):
+            losses = []
+            for step in (1e-4, -1e-4):
+                own.reshape(-1)[at] += step
+                losses.append(-net.log_probabilities(stream, lengths)[0].astype(float).mean())
+                own.reshape(-1)[at] -= step
+            assert found[name].reshape(-1)[at] == pytest.approx((losses[0] - losses[1]) / 2e-4, abs=2e-3), name
+
+
+def test_a_worker_holds_little(monkeypatch):
+    monkeypatch.setattr(lm_score, "REMEMBERED", 50)
+    spelling = lm_score.Spelling(BYTE, [b"base", b"words"])
+    texts = [f"base t{n} u{n} v{n} words" for n in range(200)]
+    many = [list(stream) for text in texts for stream in spelling.streams([text])]
+    assert len(spelling.known) <= spelling.n_base + 50
+    assert many == [list(stream) for stream in lm_score.Spelling(BYTE).streams(texts)]
