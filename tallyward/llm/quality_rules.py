@@ -6,7 +6,8 @@ whole document and of chunks of a fixed size, so that a long document cannot hid
 a bad part; short texts compress less, so each length has limits of its own.
 
 NULL and empty texts have no words and are rejected, as is every text under
-`MIN_WORDS`.  Each row is judged by itself: repeated rows get the same verdict.
+`MIN_WORDS`.  Each row is judged by itself: repeated rows get the same verdict.  Very long
+texts are judged whole, chunk by chunk.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -85,7 +86,9 @@ def duplicate_lines(text: str) -> int:
 def compression(data: bytes) -> tuple[float, int, int]:
     """The ratio of the whole text, the chunks outside their band, and all chunks.
 
-    A last chunk of less than half the size counts only if it is the only one.
+    The last chunk ends with the text and overlaps the one before, so all of it is looked at.
+    What lies past the last whole chunk is also taken by itself if it is at least a
+    quarter of a chunk: in an overlapping chunk, text before it can hide it.
     """
     if not data:
         return 1.0, 0, 0
@@ -93,11 +96,19 @@ def compression(data: bytes) -> tuple[float, int, int]:
     ratio = len(compress(data)) / len(data)
     if len(data) <= CHUNK_BYTES:
         return ratio, 0, 1
-    chunks = [data[at : at + CHUNK_BYTES] for at in range(0, len(data), CHUNK_BYTES)]
-    if len(chunks[-1]) < CHUNK_BYTES // 2:
-        chunks.pop()
+    whole = len(data) // CHUNK_BYTES * CHUNK_BYTES
+    chunks = [data[at : at + CHUNK_BYTES] for at in range(0, whole, CHUNK_BYTES)]
+    if whole < len(data):
+        chunks.append(data[-CHUNK_BYTES:])
     low, high = CHUNK_BAND
-    bad = sum(not low <= len(compress(chunk)) / len(chunk) <= high for chunk in chunks)
+
+    def outside(chunk: bytes) -> bool:
+        return not low <= len(compress(chunk)) / len(chunk) <= high
+
+    bad = sum(map(outside, chunks))
+    tail = data[whole:]
+    if len(tail) >= CHUNK_BYTES // 4 and not outside(chunks[-1]):
+        bad += outside(tail)
     return ratio, bad, len(chunks)
 
 

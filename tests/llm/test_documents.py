@@ -1,5 +1,6 @@
 """Quality rules, personal data, SimHash, decontamination and scores against brute force."""
 
+import base64
 import hashlib
 import math
 import random
@@ -55,6 +56,12 @@ def test_quality_bands():
     assert quality_rules.judge(prose)[6]
     noise = " ".join("".join(chr(dice.randrange(33, 0x2FA0)) for _ in range(8)) for _ in range(300))
     assert not quality_rules.judge(noise)[5] and not quality_rules.judge(noise)[6]
+    hidden = base64.b64encode(bytes(dice.randrange(256) for _ in range(6_000))).decode()
+    long = " ".join("".join(dice.choices(sounds, k=dice.randint(1, 3))) for _ in range(4_000))
+    for size in (1_100, 2_000, 4_000, 6_000):  # encoded text after the last whole chunk of prose
+        text = long[:4096] + hidden[:size]
+        assert not quality_rules.judge(text)[5] and not quality_rules.judge(text)[6], size
+        assert quality_rules.judge(long[: 4096 + size])[6]
     monotone = " ".join(f"aaaaaaaaaaaaaaaaaaaaaaaa{n}" for n in range(300))
     assert not quality_rules.judge(monotone)[5] and not quality_rules.judge(monotone)[6]
 
