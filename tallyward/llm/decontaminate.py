@@ -11,11 +11,14 @@ these bounds are summed for many passages at once.
 
 Retrieved items are verified: the question (all sentences but the last) and the answer
 (the last one, or the last third of a single sentence) must both be found in the passage,
-by the share of words that lie in common runs of `RUN` words.
+by the share of words that lie in common runs of `RUN` words.  In a part of at most twice as
+many words an edit leaves no run: it is also aligned with the passage in order, so that an
+edit costs one word.
 
 Items are taken in shards of bounded bytes, each broadcast in turn, with word statistics
 of all items, so that their number only adds passes.  NULL and empty texts match nothing,
-on either side.  Repeated items match each; repeated documents give rows each.
+on either side.  Repeated items match each; repeated documents give rows each.  A very long
+text is many passages, all of them looked at.  An empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ THRESHOLD = 0.5
 #: Share of the question's and of the answer's words that must be found, in runs.
 OVERLAP = 0.5
 RUN = 5
+#: Parts of at most twice a run are also aligned: share of their words, further words between.
+ALIGNED, EDITS = 0.75, 2
 K1, B = 1.2, 0.75
 #: Postings in a block.
 BLOCK = 16
@@ -196,12 +201,37 @@ def _runs(words: list[bytes], run: int) -> set[tuple[bytes, ...]]:
     return set(zip(*[words[at:] for at in range(run)], strict=False))
 
 
+def aligned(part: list[bytes], passage: list[bytes]) -> float:
+    """The largest share of a part's words that stand in their order in a stretch of the
+    passage that is longer than the part by `EDITS` words at most."""
+    size, best = len(part) + EDITS, 0
+    firsts = set(part[: EDITS + 1])
+    for at in (at for at, word in enumerate(passage) if word in firsts):
+        row = [0] * (len(part) + 1)  # longest common subsequence with the part's beginnings
+        for word in passage[at : at + size]:
+            before = 0
+            for place, own in enumerate(part, 1):
+                before, row[place] = row[place], before + 1 if own == word else max(row[place], row[place - 1])
+        best = max(best, row[-1])
+        if best == len(part):
+            break
+    return best / len(part)
+
+
 def verify(index: Index, item: int, passage: list[bytes]) -> tuple[float, float]:
-    """Overlaps of question and answer with a passage."""
+    """Overlaps of question and answer with a passage.
+
+    An edit in a short part leaves no run of it; a short part counts as found in order if
+    `ALIGNED` of its words are.
+    """
     shares = []
     for part in index.parts[item]:
         run = min(RUN, len(part))
-        shares.append(overlap(part, _runs(passage, run), run))
+        share = overlap(part, _runs(passage, run), run)
+        if share < 1 and EDITS < len(part) <= 2 * RUN:
+            found = aligned(part, passage)
+            share = max(share, found) if found >= ALIGNED else share
+        shares.append(share)
     return shares[0], shares[1]
 
 

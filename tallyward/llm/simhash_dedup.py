@@ -6,7 +6,8 @@ most; a component is everything linked directly or through others.
 
 Distinct fingerprints are spread by the bits of one of ``radius + 1`` blocks: two that
 differ in no more than `radius` bits agree in one block at least.  A group that is still
-large is spread again by blocks of the bits that are left.  In a group, fingerprints are
+large is spread again by blocks of the bits in which its members differ, until no group is
+large.  In a group, fingerprints are
 sorted by their rank in the Gray code, so neighbours differ in few bits; runs of them are
 leaves, and runs of leaves upper nodes that hold the bits all below them share.  Pairs of
 nodes are compared from the top: the differences in shared bits add up on the way down,
@@ -16,7 +17,8 @@ members.  Components of the links come from alternating star contraction in Spar
 
 NULL and empty texts have fingerprint 0 and are linked like others.  Repeated rows and
 exact copies share a fingerprint.  NULL ids keep their rows; a component of NULL ids
-alone has component_id NULL.
+alone has component_id NULL.  Shingles of very long texts are counted in parts.  Empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -27,17 +29,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyward.llm.common import map_batches, texts_of
+from tallyward.llm.common import map_batches, quoted, texts_of
 from tallyward.session import materialize
 
 SEED = 42
 SHINGLE = 3
 RADIUS = 3
-#: Distinct fingerprints that a group may hold before it is spread again, and how often.
+#: Distinct fingerprints that a group may hold before it is spread again.
 GROUP = 50_000
-DEPTH = 3
 #: Fingerprints in a leaf, and children of an upper node.
 LEAF = 32
 FAN = 8
@@ -210,30 +211,62 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _spread(rows: DataFrame, masks: list[int], radius: int) -> tuple[DataFrame, list[int]]:
-    """Every row once per block of the bits that its mask leaves."""
-    finer: list[int] = []
-    choice: list[Column] = []
-    for at, mask in enumerate(masks):
-        parts = [mask | part for part in _blocks(~mask & (1 << 64) - 1, radius + 1)]
-        keys = [
-            F.struct(
-                F.lit(len(finer) + n).alias("mask"),
-                F.col("fp").bitwiseAND(F.lit(_signed(part))).alias("bits"),
-            )
-            for n, part in enumerate(parts)
-        ]
-        choice.append(F.when(F.col("mask") == at, F.array(*keys)))
-        finer += parts
-    spread = rows.select("fp", F.explode(F.coalesce(*choice)).alias("key"))
-    return spread.select("fp", "key.mask", "key.bits"), finer
-
-
-def links(nodes: DataFrame, radius: int = RADIUS, group: int = GROUP, depth: int = DEPTH) -> DataFrame:
+_ALL = (1 << 64) - 1
+
+
+def _by_masks(rows: DataFrame) -> DataFrame:
+    """(fp, mask, bits): a row for each of the masks in `masks`."""
+    each = rows.select("fp", F.explode("masks").alias("mask"))
+    return each.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"))
+
+
+def _finer(large: DataFrame, radius: int) -> DataFrame:
+    """(mask, bits, masks): how to spread groups of which `every` and `any` are the bits that
+    all members have and that some have.
+
+    Bits that all members share never differ, so only the others are dealt to blocks.
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        masks = []
+        for every, some in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            free = (every ^ some) & _ALL
+            masks.append([_signed(~free & _ALL | part) for part in _blocks(free, radius + 1)])
+        columns = [batch.column(0), batch.column(1), pa.array(masks, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["mask", "bits", "masks"])
+
+    return map_batches(large, ["mask", "bits", "every", "any"], work, "mask long, bits long, masks array<long>")
+
+
+def grouped_codes(nodes: DataFrame, radius: int, group: int) -> list[DataFrame]:
+    """Parts (fp, mask, bits): two codes within `radius` have a mask and bits in common, and no
+    more than `group` codes have the same ones."""
+    first = F.array(*[F.lit(_signed(part)) for part in _blocks(_ALL, radius + 1)])
+    rows = _by_masks(nodes.select("fp", first.alias("masks")))
+    parts: list[DataFrame] = []
+    while True:
+        # A group's members differ in fewer bits than those of the group it was spread from;
+        # if they differ in no more than `radius`, they are few.
+        sizes = rows.groupBy("mask", "bits").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_and("fp").alias("every"), F.bit_or("fp").alias("any")
+        )
+        differ = F.bit_count(F.col("every").bitwiseXOR(F.col("any")))
+        large = materialize(sizes.filter((F.col("n") > group) & (differ > radius)))
+        if large.isEmpty():
+            break
+        # No more groups are large than there are rows by `group`.
+        finer = F.broadcast(_finer(large, radius))
+        small = rows.join(F.broadcast(large.select("mask", "bits")), ["mask", "bits"], "left_anti")
+        parts.append(small.select("fp", "mask", "bits"))
+        rows = _by_masks(rows.join(finer, ["mask", "bits"]).select("fp", "masks"))
+    return [*parts, rows]
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame:
     """Links between the distinct fingerprints `fp` of `nodes` that connect all within `radius`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys: np.ndarray = np.zeros((0,), [("mask", "<i4"), ("bits", "<i8")])
+        held_keys: np.ndarray = np.zeros((0,), [("mask", "<i8"), ("bits", "<i8")])
         held = np.zeros(0, np.uint64)
         for batch in batches:
             fresh = np.empty(batch.num_rows, held_keys.dtype)
@@ -256,16 +289,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, group: int = GROUP, depth: int
             [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
         )
 
-    rows, masks = _spread(nodes.select("fp", F.lit(0).alias("mask")), [0], radius)
-    parts: list[DataFrame] = []
-    for _ in range(depth - 1):
-        large = rows.groupBy("mask", "bits").count().filter(F.col("count") > group).drop("count")
-        large = materialize(large)
-        if large.isEmpty():
-            break
-        parts.append(rows.join(large, ["mask", "bits"], "left_anti").select("fp", "mask", "bits"))
-        rows, masks = _spread(rows.join(large, ["mask", "bits"], "left_semi"), masks, radius)
-    parts.append(rows)
+    parts = grouped_codes(nodes, radius, group)
     found = [
         part.repartition("mask", "bits").sortWithinPartitions("mask", "bits").mapInArrow(run, LINKS)
         for part in parts
@@ -315,14 +339,15 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def cluster(marked: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame:
-    """(fp, component_id) for the fingerprints in `marked` (doc_id, fp)."""
+    """(fp, root, component_id) for the fingerprints in `marked` (doc_id, fp): a fingerprint of
+    the component, and the component's least doc_id."""
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes, radius, group))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(
@@ -341,35 +366,32 @@ def keep_one(
 ) -> DataFrame:
     """The rows of `docs`, all columns unchanged, one of each component.
 
-    The least doc_id stays (NULL last); of rows that share it and the fingerprint, the
-    one with the least values in the order of the columns.
+    The least doc_id stays (NULL last), of rows that share it the one with the least
+    fingerprint and hash of its text; of rows with one id and text, the one whose other
+    columns have the least text form.  Columns may have any name and type.
     """
-    kept, fp = "simhash kept id", "simhash fingerprint"
-
-    at = docs.columns.index(text_col)
-    if fp in docs.columns:
-        raise ValueError(f"a column is named {fp!r}")
-    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
+    # Two hashes of the text tell texts of one id apart, without fingerprints taken again.
+    hashes = F.xxhash64(F.col(quoted(text_col))), F.xxhash64(F.lit(SEED), F.col(quoted(text_col)))
+    keys = [F.col(quoted(id_col)).cast("long").alias("doc_id"), *(each.alias(f"h{n}") for n, each in enumerate(hashes))]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([fingerprint(text, shingle) for text in texts_of(batch.column(at))], np.uint64)
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, fp]
-        )
+        found = np.array([fingerprint(text, shingle) for text in texts_of(batch.column(3))], np.uint64)
+        columns = [*batch.columns[:3], pa.array(found.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "h0", "h1", "fp"])
 
     # The ids and fingerprints first; the texts move once, and only if they stay.
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle))
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))
+    texts = docs.select(*keys, F.col(quoted(text_col)).alias("text"))
+    marked = materialize(map_batches(texts, texts.columns, work, "doc_id long, h0 long, h1 long, fp long"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "h0", "h1")
     chosen = (
         marked.join(cluster(marked, radius, group), "fp")
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")))
+        .groupBy("root")
         .agg(F.min(rank).alias("first"))
-        .select(F.col("first.doc_id").alias(kept), F.col("first.fp").alias("fp of it"))
+        .select(*(F.col(f"first.{name}").alias(f"of_{name}") for name in ("doc_id", "h0", "h1")))
     )
-    carried = map_batches(docs, docs.columns, work, schema)
-    same = carried[id_col].cast("long").eqNullSafe(chosen[kept]) & (carried[fp] == chosen["fp of it"])
-    rows = carried.join(chosen, same, "left_semi")
-    # Rows with one id and fingerprint: a plain aggregate, so that even very many of
-    # them are reduced before they move.
-    least = rows.groupBy(fp, F.col(id_col).alias(kept)).agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return least.select("row.*")
+    columns = [F.col(quoted(name)) for name in docs.columns]
+    others = F.struct(*(column for name, column in zip(docs.columns, columns, strict=True) if name != text_col))
+    rows = docs.select(*keys, F.struct(*columns).alias("row"), F.to_json(others).alias("form"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("h0") == F.col("of_h0")) & (F.col("h1") == F.col("of_h1"))
+    kept = rows.join(chosen, same, "left_semi").groupBy("doc_id", "h0", "h1").agg(F.min_by("row", "form").alias("row"))
+    return kept.select("row.*")

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyward.llm import decontaminate, lm_score, pii_crf, quality_rules, simhash_dedup
 from tallyward.llm.attention_model import CLASSES, END_CLASS, STARTS, Attention, Windows, count_steps
@@ -171,6 +172,58 @@ def test_index_links_what_pairs_would(spread):
     assert len(a) < len(codes)
 
 
+def test_groups_stay_bounded(spark):
+    """A family that shares 37 bits, most of it 50, with the bits of whole blocks among them."""
+    dice = random.Random(9)
+    codes = {0xABCDE12345 << 24 | dice.getrandbits(27 if n % 3 == 0 else 14) for n in range(9_000)}
+    signed = [code - (1 << 64) if code >> 63 else code for code in codes]
+    nodes = spark.createDataFrame([(code,) for code in signed], "fp long")
+    parts = simhash_dedup.grouped_codes(nodes, 3, 500)
+    sizes = [row["count"] for part in parts for row in part.groupBy("mask", "bits").count().collect()]
+    assert max(sizes) <= 500 and sum(sizes) < 60 * len(codes)
+    found = simhash_dedup.links(nodes, 3, 500).collect()
+    at = {code: n for n, code in enumerate(signed)}
+    by_groups, whole = simhash_dedup.Labels(len(signed)), simhash_dedup.Labels(len(signed))
+    by_groups.join(*(np.array([at[row[side]] for row in found], int) for side in (0, 1)))
+    direct = simhash_dedup.link_group(np.array(signed, np.int64).view(np.uint64))
+    whole.join(*(np.array([at[int(code)] for code in side.view(np.int64)], int) for side in direct))
+    assert by_groups.of.tolist() == whole.of.tolist()
+
+
+def test_one_of_each_keeps_odd_columns(spark):
+    rows = [(1, "a b c", {"k": 1}, "x"), (1, "a b c", {"k": 0}, "x"), (1, "", None, None), (None, "a b c", None, "y"), (2, "d e f", None, "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `meta.map` map<string,int>, h0 string")
+    frame = frame.withColumns({"row": F.lit("r"), "form": F.lit(1), "fp": F.lit("f"), "c0": F.lit(0)})
+    kept = simhash_dedup.keep_one(frame)
+    assert kept.dtypes == frame.dtypes
+    found = {(row["doc_id"], row["text"]): row["meta.map"] for row in kept.collect()}
+    assert found == {(1, "a b c"): {"k": 0}, (1, ""): None, (2, "d e f"): None}
+    items = spark.createDataFrame([(1, "nothing of this kind")], "item_id long, text string")
+    for step in (quality_rules.keep_good, pii_crf.mask_personal_data, lambda docs: decontaminate.drop_contaminated(docs, items)):
+        after = step(frame)
+        assert after.dtypes == frame.dtypes
+        assert after.count() == (0 if step is quality_rules.keep_good else len(rows))
+
+
+@pytest.mark.parametrize("size", [4, 5, 7, 9, 12])
+def test_one_edited_word_does_not_hide_a_leak(spark, size):
+    dice = random.Random(size)
+    vocabulary = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "se") for b in ("ra", "lo", "ni", "pu", "ve")]
+    question = " ".join(dice.choices(vocabulary, k=25))
+    answer = [f"answer{n}" for n in range(size)]
+    item = f"{question}. {' '.join(answer)}."
+    docs = [(0, f"{item} and more {question[:40]}"), (99, f"{question}. {' '.join(reversed(answer))}"), (98, question)]
+    for at in range(size):
+        for edit in ([], ["other"], ["two", "more"]):
+            text = " ".join([*answer[:at], *edit, *answer[at + 1 :]])
+            docs.append((len(docs), f"some words before {question}. {text}. {' '.join(dice.choices(vocabulary, k=60))}"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    others = [(n, " ".join(dice.choices(vocabulary, k=20)) + ". " + " ".join(dice.choices(vocabulary, k=5)) + ".") for n in range(2, 30)]
+    items = spark.createDataFrame([(1, item), *others], "item_id long, text string")
+    found = {row["doc_id"] for row in decontaminate.contaminated(frame, items).collect() if row["item_id"] == 1}
+    assert found == {doc_id for doc_id, _ in docs if doc_id < 98}
+
+
 def test_decontamination(spark, table, docs, none):
     items = table("benchmark")
     rows = decontaminate.contaminated(table("documents"), items).collect()
