@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -74,7 +75,69 @@ def test_dropping_spares_what_holds_the_article(page, text):
     assert html_extract.main_text(page) == text
 
 
+PROSE = "A long sentence of the real article that goes on for quite a while, with many words. " * 3
+P = f"<p>{PROSE}</p>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # An article's own parts under telling names.
+        (f"<article>{P}<section id='discussion'>{P}</section></article>", "P P"),
+        (f"<article><h2 id='search-algorithms'>Search</h2>{P}<h2 id='related-work'>Work</h2>{P}</article>", "Search P Work P"),
+        (f"<article>{P}<p class='share-price'>Up</p><div class='form-factor'>Small</div></article>", "P Up Small"),
+        (f"<main><header><h1>Title</h1></header>{P}</main>", "Title P"),
+        (f"<article>{P}<aside class='pullquote'>Quoted</aside></article>", "P Quoted"),
+        (f"<article>{P}<div class='market-banner'>{P}</div></article>", "P P"),
+        # What is not the article's, beside it and in it.
+        (f"<article>{P}</article><article class='related'>{P}</article><article class='promo ad'>{P}</article>", "P"),
+        (f"<article class='promo'>{P}</article>", "P"),
+        (f"<article>{P}<section id='comments'>{P}</section><div class='comment-list'>{P}</div></article>", "P"),
+        (f"<article>{P}<div class='newsletter'>{P}</div><div class='blog-newsletter'><a href=x>Join us</a></div></article>", "P"),
+        (f"<main>{P}<div class='related-posts'>{P}</div><div hidden>{P}</div></main>", "P"),
+        # No element around the article alone.
+        (f"<body><div>{PROSE}</div><div>Copyright</div></body>", "P"),
+        (f"<body><p>Menu<p><a href=x>One two three</a><h1>Title</h1><p>{PROSE}<p>{PROSE}<p>Imprint</body>", "Title P P"),
+        (f"<div class='menu'><div class='ad'><article>{P}</article></div><article>{P}</article><div class='ad'><article>{P}</article></div></div>", "P"),
+    ],
+)
+def test_names_and_ratios(page, text):
+    assert html_extract.main_text(page) == "\n".join(PROSE.strip() if word == "P" else word for word in text.split())
+
+
+def test_pages_without_a_holder_against_what_they_were_made_of():
+    dice = random.Random(6)
+    for _ in range(150):
+        article = [" ".join(dice.choices(PROSE.split(), k=dice.randint(30, 80))) for _ in range(dice.randint(2, 6))]
+        blocks = [f"<p>{each[:20]}<b>{each[20:40]}</b>{each[40:]}</p>" for each in article]
+        around = [
+            "<ul class='nav-menu'>" + "<li><a href=x>Page one</a>" * 5 + "</ul>", "<div id=sidebar><p>Other things</p></div>",
+            f"<div class='comments-area'><p>{PROSE}</p></div>", "<footer><p>All rights</footer>", "<form><input><label>Mail</form>",
+            f"<div role=complementary>{PROSE}</div>", "<script>var a = '<p>';</script>", "<div class='cookie-consent'>We use them</div>",
+        ]
+        dice.shuffle(around)
+        cut = dice.randint(0, len(around))
+        body = dice.choice(["<div class='page'>{}</div>", "<section>{}</section>", "<table><tr><td>{}</td></tr></table>"])
+        html_text = f"<html><head><title>T</title></head><body>{''.join(around[:cut])}{body.format(''.join(blocks))}{''.join(around[cut:])}"
+        assert html_extract.main_text(html_text) == "\n".join(article)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "x", "<figure>" * 50_000 + "x", "<b>" * 50_000 + "</i>" * 50_000 + "x", "<p>" * 50_000 + "x",
+        "<div class=form>" * 50_000 + "x", "<div class=form>" * 60 + "<p>x</p>" * 20_000, "<li><span>" * 25_000 + "x",
+    ],
+)
+def test_deep_and_long_pages(page):
+    start = time.process_time()
+    assert html_extract.main_text(page).startswith("x")
+    assert time.process_time() - start < 5
+
+
 def test_pages_with_nulls(spark, table):
+    odd = table("pages").selectExpr("*", "'x' AS `meta.lang`", "map('a', 1) AS text", "1 AS c0")
+    assert sorted(html_extract.extract_text(odd).collect()) == sorted(html_extract.extract_text(table("pages")).collect())
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x"), (1, None, None)], "page_id long, url string, html string")
     found = html_extract.extract_text(pages).collect()
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in found) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
