@@ -4,13 +4,15 @@ The patterns (email, ip, card, phone) are found exactly.  The field labels the w
 a line by their shapes and those of their neighbours; it is trained from the small
 labelled table in ``pii_tables`` by gradient ascent with forward-backward sums, and
 decoded by Viterbi in numpy, for many lines at once.  Its spans are added where they do
-not touch a pattern's; it also knows `secret`, for tokens and keys.
+not touch a pattern's; it also knows `secret`, for tokens and keys, `account`, for bank
+accounts, and `identity`, for social security numbers.
 
 Every kind needs a digit or an at sign, so the field is laid over the lines that have
-one; in all other lines every word is O.
+one; in all other lines every word is O.  A secret of letters alone is not found.
 
 NULL and empty texts have no spans.  Offsets are code points, the end exclusive.  Each
-row is treated by itself, so repeated rows give equal results.
+row is treated by itself, so repeated rows give equal results.  Very long texts are read
+line by line, whole.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tallyward.llm.common import map_batches, texts_of
-from tallyward.llm.pii_tables import sentences
+from tallyward.llm.pii_tables import KEY_BEGINNINGS, sentences
 
 #: Kinds in the order of spans with equal starts.
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret")
+KINDS = (*BASE_KINDS, "secret", "account", "identity")
 LABELS = ("O", *KINDS)
 Span = tuple[int, int, str]
 
@@ -97,16 +99,41 @@ def ordered(spans: list[Span]) -> list[Span]:
 
 _WORDS = re.compile(r"[^ \t-\r]+")
 _RUNS = re.compile(r"(.)\1+")
-_HEX_WORD = re.compile(r"(?<![0-9a-zA-Z])(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{16,}(?![0-9a-zA-Z])")
 _QUOTES = "\"'`.,;:()[]<>!?|"
+#: A run of letters and digits that is long enough for a key.
+_KEY = re.compile(r"[0-9A-Za-z_+/=-]{16,}")
+#: Changes between capitals, small letters and digits that a key has at least.
+_CHANGES = 4
+_MIXED = re.compile(r"[0-9A-Za-z]{12,}")
+_KINDS_OF = re.compile(r"[0-9]+|[A-Z]+|[a-z]+")
+
+
+def is_key(run: str) -> bool:
+    """Whether a known beginning says so, or letters and digits change as if drawn by lot."""
+    if run.startswith(KEY_BEGINNINGS):
+        return True
+    for mixed in _MIXED.findall(run):
+        parts = _KINDS_OF.findall(mixed)
+        digits = sum(len(part) for part in parts if part[0] <= "9")
+        if len(parts) > _CHANGES and 0 < digits < len(mixed) and len(parts) * 7 > len(mixed):
+            return True
+    return False
+
+
+def _shorten(match: re.Match[str]) -> str:
+    run = match[0]
+    before, mark, after = run.rpartition("=")
+    if mark and len(after) >= 16:  # a name and its key
+        return f"{before}={'x' if is_key(after) else after}"
+    return "x" if is_key(run) else run
 
 
 def fine(word: str) -> str:
     """Letters as a, A, digits as 9, runs of up to four digits by length, others once.
 
-    Long hexadecimal words, which hardly share a shape, become x.
+    Long mixed runs, which hardly share a shape, become x.  Marks around a word do not count.
     """
-    word = _HEX_WORD.sub("x", word)
+    word = _KEY.sub(_shorten, word.strip(_QUOTES) or word)
     shape = "".join(
         "9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word
     )
@@ -114,27 +141,32 @@ def fine(word: str) -> str:
 
 
 COARSE = (
-    "edge", "word", "mark", "hex", "email", "at", "dotted", "plus", "area", "long", "four",
-    "three", "short", "dashed", "equals", "number", "mixed",
+    "edge", "word", "mark", "key", "email", "at", "dotted", "plus", "area", "long", "seven", "four",
+    "three", "short", "zero", "social", "dashed", "account", "country", "equals", "number", "mixed", "named",
 )
 _COARSE_PATTERNS = (
     ("email", re.compile(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+")), ("at", re.compile(r".*@.*")),
     ("dotted", re.compile(r"\d{1,3}(\.\d{1,3}){3}")), ("plus", re.compile(r"\+\d[\d().-]*")),
-    ("area", re.compile(r"\d{3}")), ("long", re.compile(r"\d{14,19}")), ("four", re.compile(r"\d{4}")),
-    ("three", re.compile(r"\d{3}")), ("short", re.compile(r"\d{1,2}")),
-    ("dashed", re.compile(r"\d+(-\d+)+")), ("number", re.compile(r"[\d.,:%/-]+")),
+    ("long", re.compile(r"\d{14,19}")), ("four", re.compile(r"\d{4}")), ("zero", re.compile(r"0\d{1,4}([-/]\d{5,9})?")),
+    ("seven", re.compile(r"\d{6,9}")), ("three", re.compile(r"\d{3}")),
+    ("short", re.compile(r"\d{1,2}")), ("social", re.compile(r"\d{3}-\d{2}-\d{4}")),
+    ("dashed", re.compile(r"\d+([-.]\d+)+")), ("account", re.compile(r"[A-Z]{2}\d\d[A-Z0-9]{11,30}")),
+    ("country", re.compile(r"[A-Z]{2}\d\d")), ("number", re.compile(r"[\d.,:%/-]+")),
 )
 
 
 def coarse(word: str) -> str:
-    if word.startswith("(") and re.match(r"\(\d{2,4}\)", word):
+    if word.startswith("(") and re.match(r"\(\d{2,5}\)", word):
         return "area"
     bare = word.strip(_QUOTES)
-    if _HEX_WORD.fullmatch(bare):
-        return "hex"
     for name, pattern in _COARSE_PATTERNS:
-        if name != "area" and pattern.fullmatch(bare):
+        if pattern.fullmatch(bare):
             return name
+    shape = fine(bare)
+    if shape == "a" and bare not in ("x", "a") and len(bare) >= 16 and _KEY.fullmatch(bare) and is_key(bare):
+        return "key"
+    if shape.endswith("=a") and is_key(bare.rpartition("=")[2]) and len(bare) >= 16:
+        return "named"
     if any(c in "0123456789@+" for c in word):
         return "mixed"
     if word in ("=", ":=", ":"):
@@ -168,7 +200,8 @@ class Crf:
         """Rows: fine, coarse, coarse before, coarse after."""
         pairs = np.array([self.features(word) for word in words], np.int64).reshape(-1, 2)
         shape = pairs[:, 1]
-        return np.stack([pairs[:, 0], shape, np.append(0, shape[:-1]), np.append(shape[1:], 0)])
+        around = np.concatenate([[0], shape, [0]])
+        return np.stack([pairs[:, 0], shape, around[: len(shape)], around[2:]])
 
     def scores(self, index: np.ndarray) -> np.ndarray:
         return sum(w[index[at]] for at, w in enumerate(self.w))
@@ -267,13 +300,24 @@ def _plausible(kind: str, text: str) -> bool:
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
-        return 10 <= len(digits) <= 15
+        return 9 <= len(digits) <= 15
     if kind == "ip":
         parts = text.split(".")
         return len(parts) == 4 and all(part.isdecimal() and int(part) <= 255 for part in parts)
+    if kind == "identity":
+        return len(digits) == 9
+    if kind == "account":
+        return remainder(text) == 1
     return "@" in text if kind == "email" else len(text) >= 16
 
 
+def remainder(account: str) -> int:
+    """Of an account's letters and digits by 97, the country moved to the end: 1 if it is right."""
+    plain = "".join(c for c in account if c.isascii() and c.isalnum()).upper()
+    number = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
+    return int(number) % 97 if 15 <= len(plain) <= 34 else 0
+
+
 def _added(line: str, words: list[tuple[int, int]], labels: np.ndarray, base: list[Span]) -> list[Span]:
     """The field's spans: runs of one label, without marks at the ends."""
     found: list[Span] = []
@@ -290,6 +334,8 @@ def _added(line: str, words: list[tuple[int, int]], labels: np.ndarray, base: li
             while end > start and line[end - 1] in _QUOTES:
                 end -= 1
             kind = LABELS[label]
+            if kind == "secret" and "=" in line[start:end].rstrip("="):  # a name and its key
+                start = line.rindex("=", start, start + len(line[start:end].rstrip("="))) + 1
             if _plausible(kind, line[start:end]) and all(end <= s or start >= e for s, e, _ in base):
                 found.append((start, end, kind))
         at = last + 1
