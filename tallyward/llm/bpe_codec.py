@@ -12,7 +12,9 @@ Text is prepared as the tokenizer file says: canonical composition, lower case
 belongs to the last byte of a word.  Decoding reads token strings at their offsets in
 one table and joins them by a space, as the library does for a file without decoder.
 
-NULL and empty texts have no ids and decode to the empty text.
+NULL and empty texts have no ids and decode to the empty text.  Each row is treated by
+itself, so repeated rows give equal results.  Very long texts are encoded whole, word by
+word; an empty table gives no rows, further columns are left out.
 """
 
 from __future__ import annotations

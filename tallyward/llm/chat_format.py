@@ -10,8 +10,9 @@ needs no more memory than its longest turn.  The joined segments of a conversati
 turn order are its formatted text; `read_back` parses exactly those.
 
 NULL text and NULL role count as empty.  Repeated rows are turns of their own; turns
-with equal numbers follow in the order of role and text, a NULL number comes first, and
-rows with a NULL conversation id form one conversation.
+with equal numbers follow in the order of their rendered segments, a NULL number comes first,
+and rows with a NULL conversation id form one conversation.  A very long turn is rendered
+whole.  Further columns are left out, an empty table gives no rows.
 """
 
 from __future__ import annotations

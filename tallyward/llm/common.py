@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -30,12 +32,14 @@ def ship(spark: SparkSession) -> None:
     if application in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="tallyward-"), "tallyward.zip"))
+    folder = tempfile.mkdtemp(prefix="tallyward-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.realpath(os.path.join(folder, "tallyward.zip"))
     with zipfile.ZipFile(archive, "w") as file:
-        for folder, _, names in os.walk(package):
+        for inner, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
-                    path = os.path.join(folder, name)
+                    path = os.path.join(inner, name)
                     file.write(path, os.path.relpath(path, os.path.dirname(package)))
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(application)

@@ -10,7 +10,8 @@ Blocks are the rows of Parquet files that Spark's own writer commits, so a lost
 repeated task leaves no broken files, and any file system Spark knows will do.
 
 NULL and empty texts are documents with the end id alone; a NULL document id comes
-first, and equal ids follow each other, each with its own place.
+first, and equal ids follow each other, each with its own place.  A very long text is one
+document of a block of its own; an empty table gives no blocks, further columns are left out.
 """
 
 from __future__ import annotations

@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyward.llm import filter_audit, spelling_groups, text_sketches
-from tallyward.llm.queries import QUERIES
+from tallyward.llm.queries import ORACLE_SQL, QUERIES
 
 #: Names of internal columns, a dot and a map, beside the columns of documents.
 ODD = {"meta.lang": "'x'", "word": "1", "id": "'?'", "part": "2", "n": "map('a', 1)"}
@@ -247,6 +248,18 @@ def test_filter_audit(spark, table, docs, none):
     assert filter_audit.filter_audit(none.withColumnRenamed("component_id", "lang"), small).count() == 0
 
 
+def test_audit_query_equals_its_sql(spark, sf_dir):
+    frame = QUERIES["op13_filter_audit"](spark, sf_dir)
+    with duckdb.connect() as db:
+        for name in ("documents", "labels"):
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        db.execute(f"CREATE VIEW audit AS {ORACLE_SQL['op13_filter_audit']}")
+        theirs = db.execute("SELECT * FROM audit")
+        kinds = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint"}
+        assert frame.dtypes == [(column[0], kinds[str(column[1])]) for column in theirs.description]
+        assert sorted(map(tuple, frame.collect())) == sorted(theirs.fetchall())
+
+
 def test_matrix_has_every_count(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(filter_audit, "SHARD", 40)
     target = str(tmp_path / "matrix")

@@ -159,9 +159,15 @@ def test_every_text_comes_back():
 
 def test_conversations_with_nulls_ties_and_length(spark, table):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (2, None, None, "<|im_end|>"), (None, 0, "assistant", "n")]
+    rows += [(4, 0, "assistant", "a long turn <|im_end|> " * 200_000), (5, 0, "a", "b\nc"), (5, 0, "a\nb", "c"), (5, 0, "a b", "")]
     rows += [(3, n, "assistant" if n % 2 else "user", f"turn {n}") for n in range(25_000)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    found = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(turns)).collect()}
+    odd = turns.selectExpr("*", "1 AS segment", "2 AS start", "map('a', 1) AS `meta.x`")
+    found = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(odd)).collect()}
+    assert sorted(map(tuple, found.values()), key=str) == sorted(
+        map(tuple, chat_format.read_back(chat_format.format_turns(turns)).collect()), key=str
+    )
+    assert found[4]["loss_chars"] == len("a long turn <|im_end|> ") * 200_000 and found[5]["n_turns"] == 3
     assert found[1]["n_turns"] == 3 and found[1]["loss_chars"] == 2
     assert found[2]["turns_sha256"] == hashlib.sha256(b"\n<|im_end|>\n").hexdigest()
     assert found[None]["loss_sha256"] == hashlib.sha256(b"n").hexdigest()
