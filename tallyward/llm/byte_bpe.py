@@ -93,6 +93,30 @@ class ByteBpe:
         data = array("I", ids).tobytes()
         return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
+    def ids_of_letters(self, words: list[str]) -> tuple[list[str], list[int], list[int], list[str]]:
+        """Words of letters among `words`, all their ids, each with a space before it, and how
+        many each has; and the other words, which `encode_words` takes."""
+        if not self._direct:
+            return [], [], [], words
+        tokenize, shown = self.tokenizer.model.tokenize, self._shown
+        before = shown[32]
+        letters, ids, sizes, others = [], [], [], []
+        for word in words:
+            if not word.isalpha():
+                others.append(word)
+                continue
+            plain = word
+            if not word.isascii():
+                if max(word) >= _LETTERS:
+                    others.append(word)
+                    continue
+                plain = word.encode().decode("latin-1").translate(shown)
+            tokens = tokenize(before + plain)
+            ids += [token.id for token in tokens]
+            sizes.append(len(tokens))
+            letters.append(word)
+        return letters, ids, sizes, others
+
     def _encode_joined(self, words: list[str], mark: str = " ") -> list[bytes]:
         """The ids of words, each with a space or a line end before it, by few calls of
         the library.
