@@ -1,7 +1,8 @@
 """Fingerprints of texts as invertible Bloom lookup sketches of their paragraphs.
 
 A paragraph is a sentence of a line; a piece longer than `LONG` characters is cut after words
-that their checksum names, so that an edit changes few pieces.  The n-th occurrence of
+that their checksum names, so that an edit changes few pieces, and where it would still be
+longer.  The n-th occurrence of
 a paragraph is a paragraph of its own.  A sketch has three tables of cells; each paragraph's
 digest goes into one cell of each: a count, the exclusive or of digests, and that of their
 checksums.  A sketch of half the size is the fold of the larger one.
@@ -55,11 +56,14 @@ def paragraphs(text: str) -> list[str]:
                 found.append(piece)
             continue
         words: list[str] = []
+        size = 0
         for word in piece.split():
-            words.append(word)
-            if zlib.crc32(word.encode()) % WORDS == 0:
-                found.append(" ".join(words))
-                words = []
+            for at in range(0, len(word), LONG):
+                words.append(word[at : at + LONG])
+                size += len(words[-1]) + 1
+                if size > LONG or zlib.crc32(word.encode()) % WORDS == 0:
+                    found.append(" ".join(words))
+                    words, size = [], 0
         if words:
             found.append(" ".join(words))
     return found

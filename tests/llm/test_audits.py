@@ -182,6 +182,15 @@ def test_peeled_digests_are_those_that_only_one_has(spark):
             assert signed == [set(row["removed"]), set(row["added"])]
 
 
+def test_long_pieces_are_cut():
+    for text in ("word " * 3_000, "x" * 30_000, "no end " * 2_000 + "y" * 9_000, "short. " * 5):
+        found = text_sketches.paragraphs(text)
+        assert "".join(found).replace(" ", "") == text.replace(" ", "")
+        assert max(map(len, found)) <= 2 * text_sketches.LONG
+        half = text[: len(text) - len(text) // 2] + "Z" * (len(text) // 2)
+        assert 0.3 < alike(text, half) < 0.7
+
+
 def test_sketches_fold():
     digests = text_sketches.Digests.of([" ".join(f"S{n}." for n in range(40)), "", "a\nb"])
     large, small = text_sketches.Cells.of(digests, 7), text_sketches.Cells.of(digests, 4)
