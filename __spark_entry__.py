@@ -32,7 +32,7 @@ from tallyward.operators import (  # noqa: E402
 )
 from tallyward.plans import marts, measures, quality_metrics as quality_mart  # noqa: E402
 from tallyward.schemas import CLAIMS, DIAGNOSES, PAID_SHARE, PROCEDURES, TABLES  # noqa: E402
-from tallyward.session import scratch_path  # noqa: E402
+from tallyward.session import materialize, scratch_path  # noqa: E402
 from tallyward.sinks import files  # noqa: E402
 from tallyward.sources import faults, tables, testbed  # noqa: E402
 
@@ -153,13 +153,10 @@ def _as_doubles(frame: DataFrame) -> DataFrame:
     )
 
 
-def _datasets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    claims = testbed.claims(spark, path)
-    return {
-        "patients": testbed.patients(spark, path),
-        "claims": claims,
-        "quality_metrics": quality_mart.quality_metrics(claims),
-    }
+def _stored_metrics(spark: SparkSession, root: str, one_header: bool) -> DataFrame:
+    """The quality table of claims stored below `root`, whose joins are not made again."""
+    stored = tables.read_table(spark, f"{root}/claims", "claims", one_header=one_header)
+    return quality_mart.quality_metrics(stored)
 
 
 def _digests(frames: dict[str, DataFrame], key: str) -> DataFrame:
@@ -170,14 +167,23 @@ def _digests(frames: dict[str, DataFrame], key: str) -> DataFrame:
 
 def _write_datasets(spark: SparkSession, path: str) -> DataFrame:
     root = scratch_path(spark, "datasets")
-    files.write_datasets(_datasets(spark, path), root)
+    claims = testbed.claims(spark, path)
+    patients = testbed.patients(spark, path)
+    metrics = quality_mart.quality_metrics(claims)
+    files.write_datasets({"patients": patients, "claims": claims, "quality_metrics": metrics}, root)
     return _digests({name: tables.read_table(spark, f"{root}/{name}", name) for name in TABLES}, "table_name")
 
 
 def _read_tables(spark: SparkSession, path: str) -> DataFrame:
     """CSV folders whose files have their columns in different orders, and one more column."""
     root = scratch_path(spark, "mixed")
-    for name, frame in _datasets(spark, path).items():
+    makers = {
+        "patients": lambda: testbed.patients(spark, path),
+        "claims": lambda: testbed.claims(spark, path),
+        "quality_metrics": lambda: materialize(_stored_metrics(spark, root, one_header=False)),
+    }
+    for name, make in makers.items():
+        frame = make()
         key = F.pmod(F.xxhash64(frame.columns[0]), F.lit(2))
         ways = (sorted(frame.columns), [*reversed(frame.columns), "source"])
         for way, columns in enumerate(ways):
