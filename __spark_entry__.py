@@ -167,10 +167,8 @@ def _digests(frames: dict[str, DataFrame], key: str) -> DataFrame:
 
 def _write_datasets(spark: SparkSession, path: str) -> DataFrame:
     root = scratch_path(spark, "datasets")
-    claims = testbed.claims(spark, path)
-    patients = testbed.patients(spark, path)
-    metrics = quality_mart.quality_metrics(claims)
-    files.write_datasets({"patients": patients, "claims": claims, "quality_metrics": metrics}, root)
+    files.write_datasets({"patients": testbed.patients(spark, path), "claims": testbed.claims(spark, path)}, root)
+    files.write_datasets({"quality_metrics": _stored_metrics(spark, root, one_header=True)}, root)
     return _digests({name: tables.read_table(spark, f"{root}/{name}", name) for name in TABLES}, "table_name")
 
 

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tallyward.plans import quality_metrics as quality_mart
 
 
-@pytest.mark.parametrize("name", ["read_tables"])
+@pytest.mark.parametrize("name", ["read_tables", "write_datasets"])
 def test_quality_table_comes_from_the_stored_claims(monkeypatch, spark, sf_dir, name):
     read: list[str] = []
     measure = quality_mart.quality_metrics
