@@ -154,20 +154,21 @@ class Attention:
     )
 
     def _attend(self, seen: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Weights of the places each position sees, and the mix of their values.
+        """Per position the pairs of classes that meet and the weights of the places it sees,
+        their sums, the values, and the mix of them.
 
-        Scores are small, so they need no shift; a column of ones gives the sums.
+        A weight depends on two classes and a distance, so those of all classes are computed
+        and looked up.  Scores are small, so they need no shift; a column of ones gives the sums.
         """
-        q = self.query.take(seen[:, CONTEXT:], axis=0)
-        k = np.clip(self.key, -9, 9).take(seen, axis=0)
+        meet = self.query @ np.clip(self.key, -9, 9).T
+        pairs = (seen[:, CONTEXT:].astype(np.int64) * CLASSES)[:, :, None] + seen[:, None, :]
         v = np.concatenate([self.value, np.ones((CLASSES, 1), np.float32)], axis=1).take(seen, axis=0)
         v *= there[:, :, None]
-        weight = np.matmul(q, k.transpose(0, 2, 1))
-        np.exp(np.minimum(weight, 60, out=weight), out=weight)
+        weight = np.exp(np.minimum(meet, 60)).ravel().take(pairs)
         weight *= np.exp(self.near)[self._distance] * self._visible
         mixed = np.matmul(weight, v)
         total = np.maximum(mixed[:, :, -1:], np.float32(1e-30))
-        return q, k, v[:, :, :-1], weight, total, mixed[:, :, :-1] / total
+        return pairs, weight, total, v[:, :, :-1], mixed[:, :, :-1] / total
 
     def log_probabilities(self, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per unit of the stream: log of its class's probability, and of a word's begin or
@@ -220,7 +221,7 @@ class Attention:
             at += own.size
 
     def descend(
-        self, stream: np.ndarray, windows: Windows, rounds: int, rate: float = 0.01, batch: int = 24
+        self, stream: np.ndarray, windows: Windows, rounds: int, rate: float = 0.01, batch: int = 192
     ) -> None:
         """Adam over some windows, from the parameters as they are."""
         draw = np.random.default_rng(1)
@@ -242,12 +243,11 @@ class Attention:
 
     def _gradients(self, stream: np.ndarray, windows: Windows, some: np.ndarray) -> dict[str, np.ndarray]:
         seen, there, target = windows.seen[some], windows.there[some], windows.target[some].ravel()
-        q, k, v, weight, total, mixed = self._attend(seen, there)
-        weight = weight * there[:, None, :] / total
+        pairs, weight, total, v, mixed = self._attend(seen, there)
+        weight *= there[:, None, :] / total
         keep = np.flatnonzero(target >= 0)
         last = seen[:, CONTEXT:].ravel()[keep]
-        hidden = mixed.reshape(-1, WIDTH)
-        own, wanted = hidden[keep], stream[target[keep]]
+        own, wanted = mixed.reshape(-1, WIDTH)[keep], stream[target[keep]]
         begins = wanted < STARTS
         d_gate = (1 / (1 + np.exp(-(own @ self.out_gate + self.gate[last]))) - begins) / len(keep)
         d_gate = d_gate.astype(np.float32)
@@ -256,26 +256,28 @@ class Attention:
         for name, some, base in (
             ("starts", np.flatnonzero(begins), 0), ("rest", np.flatnonzero(~begins), STARTS),
         ):
-            table, out = getattr(self, name), getattr(self, f"out_{name}")
-            logits = table[last[some]] + own[some] @ out
-            logits = np.exp(logits - logits.max(axis=1, keepdims=True))
-            logits /= logits.sum(axis=1, keepdims=True)
-            logits[np.arange(len(some)), wanted[some] - base] -= 1
-            logits /= np.float32(len(keep))
-            found[name] = _sum_rows(last[some], logits)
-            found[f"out_{name}"] = own[some].T @ logits
-            d_own[some] += logits @ out.T
-        d_hidden = np.zeros_like(hidden)
-        d_hidden[keep] = d_own
-        d_mixed = d_hidden.reshape(mixed.shape)
+            # In the order of the units before, whose rows of the table are added up.
+            some = some[np.argsort(last[some], kind="stable")]
+            table, out, rows = getattr(self, name), getattr(self, f"out_{name}"), own[some]
+            logits = _times(rows, out)
+            logits += table.take(last[some], axis=0)
+            np.exp(np.minimum(logits, 60, out=logits), out=logits)
+            logits /= logits.sum(axis=1, keepdims=True) * np.float32(len(keep))
+            logits[np.arange(len(some)), wanted[some] - base] -= np.float32(1 / len(keep))
+            found[name] = np.zeros_like(table)
+            if len(some):
+                held, first = np.unique(last[some], return_index=True)
+                found[name][held] = np.add.reduceat(logits, first, axis=0)
+            found[f"out_{name}"] = rows.T @ logits
+            d_own[some] += _times(logits, out.T)
+        d_mixed = np.zeros_like(mixed)
+        d_mixed.reshape(-1, WIDTH)[keep] = d_own
         d_weight = np.matmul(d_mixed, v.transpose(0, 2, 1))
-        d_score = weight * (d_weight - (d_weight * weight).sum(axis=2, keepdims=True))
-        for name, index, grad in (
-            ("query", seen[:, CONTEXT:], np.matmul(d_score, k)),
-            ("key", seen, np.matmul(d_score.transpose(0, 2, 1), q)),
-            ("value", seen, np.matmul(weight.transpose(0, 2, 1), d_mixed)),
-        ):
-            found[name] = _sum_rows(index.ravel(), grad.reshape(-1, WIDTH))
+        d_weight -= (d_mixed * mixed).sum(axis=2, keepdims=True)
+        d_score = np.multiply(weight, d_weight, out=d_weight)
+        meet = np.bincount(pairs.ravel(), d_score.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32)
+        found["query"], found["key"] = meet @ np.clip(self.key, -9, 9), meet.T @ self.query
+        found["value"] = _sum_rows(seen.ravel(), np.matmul(weight.transpose(0, 2, 1), d_mixed).reshape(-1, WIDTH))
         found["near"] = np.bincount(
             self._distance.ravel(), d_score.sum(axis=0).ravel(), minlength=SPAN
         ).astype(np.float32)

@@ -12,10 +12,10 @@ times each unit's share of its class after the unit before.  Units before are to
 
 Training texts are gone through once more for all that the model is made from: the company
 units keep, which gives the classes, the counts of all pairs of neighbours, which give the
-tables, and the windows that the attention's weights are fitted on: one of `EVERY` windows of
-each training text, at every size.  Windows are dealt to shards of like size; a round starts
-from the same weights in each, and their weighted mean is taken in Spark.  Long texts are
-scored in overlapping windows, every unit once.
+tables, and the texts' units in pieces of some windows, as the attention's weights are fitted
+on every window of every training text, each in one of the rounds.  Pieces are dealt to shards
+of like size; a round starts from the same weights in each of its shards, and their weighted
+mean is taken in Spark.  Long texts are scored in overlapping windows, every unit once.
 
 NULL and empty texts are the end alone.  A NULL id counts as the text '' in the fold rule.
 Repeated rows are scored alike, each with a row of its own.  A very long text is one row of
@@ -53,10 +53,10 @@ from tallyward.session import scratch_path
 FOLDS, HELD_OUT = 7, 2
 #: Most frequent words that every executor knows; all others are joined.
 HEAD = 100_000
-#: The attention is fitted on one of so many windows of each training text, of any input.
-EVERY = 16
-#: Windows that a shard of the fit has about, and rounds over them.
-SHARD_WINDOWS, ROUNDS = 8192, 2
+#: Windows that a shard of the fit has about, and rounds, each over shards of its own.
+SHARD_WINDOWS, ROUNDS = 1 << 16, 2
+#: Units of a text that go to a shard together, besides those before them.
+PIECE = 64 * STRIDE
 #: Groups of the unit before: the most frequent units, the end, and the others by class.
 GROUPS, GATHERED = 256, 32
 #: Weight of the word's share of the training tokens against the attention model.
@@ -288,11 +288,12 @@ def merge_pairs(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
     return distinct, np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
 
 
-def window_units(stream: np.ndarray, turns: np.ndarray) -> np.ndarray:
-    """Per window the unit before it and its own units; -1 outside of the text."""
-    at = (turns * STRIDE - CONTEXT - 1)[:, None] + np.arange(SPAN + 1)
-    inside = (at >= 0) & (at < len(stream))
-    return np.where(inside, stream[np.where(inside, at, 0)], -1).astype("<i4")
+def pieces(stream: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """A text's units in pieces of whole windows: how many units before its own a piece begins
+    with, and all its units."""
+    for start in range(0, len(stream), PIECE):
+        lead = min(start, CONTEXT + 1)
+        yield lead, stream[start - lead : start + PIECE]
 
 
 _GATHERED = "kind string, key long, c long, data binary"
@@ -302,7 +303,8 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
     """One pass over `texts` (text, place): rows (kind, key, c, data) of three kinds.
 
     `company`: key is a unit, data its vector.  `pair`: key is the unit before times all
-    units plus the unit, c how often.  `window`: key is a shard, data the units of its windows.
+    units plus the unit, c how often.  `piece`: key is a shard, data the units of a piece, the
+    first c of which come before its own.  Shard number n is for round n % `ROUNDS`.
     """
     shared = texts.sparkSession.sparkContext.broadcast(first)
     size = len(first) + 1
@@ -316,8 +318,7 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
         spelling, classes, company = _held("gather", path, lambda: Spelling(path)), shared.value, Company(size)
         keys, counts, waiting = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
-            windows: list[np.ndarray] = []
-            chosen: list[np.ndarray] = []
+            chosen: list[tuple[int, int, bytes]] = []
             places, done = batch.column(1).to_pylist(), 0
             for units, sizes in spelling.chunks(texts_of(batch.column(0))):
                 units = units.astype(np.int64)
@@ -332,13 +333,12 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
                 cells, n = cells[cells % size < size - 1], n[cells % size < size - 1]  # without the ends
                 row, own = np.divmod(cells, size)
                 company.places(np.unique(own))
-                bounds = np.searchsorted(row, np.arange(len(sizes) + 1))
+                bounds, short = np.searchsorted(row, np.arange(len(sizes) + 1)), units.astype("<i4")
                 for at, (place, a, b) in enumerate(zip(places[done : done + len(sizes)], bounds, bounds[1:], strict=False)):
                     add_company(company.row[own[a:b]], n[a:b], company.sums, classes[own[a:b]])
-                    turns = np.arange(place % EVERY, -(-sizes[at] // STRIDE), EVERY)
-                    if len(turns):
-                        windows.append(window_units(units[first[at] : first[at] + sizes[at]], turns))
-                        chosen.append((place + turns * 40503) % shards)
+                    own_units = short[first[at] : first[at] + sizes[at]]
+                    for number, (lead, piece) in enumerate(pieces(own_units)):
+                        chosen.append(((place + number * 40503) % (shards * ROUNDS), lead, piece.tobytes()))
                 done += len(sizes)
                 if waiting > _PAIRS:
                     merged = merge_pairs(keys, counts)
@@ -346,12 +346,8 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
                     if len(merged[0]) > _PAIRS // 2:
                         yield rows("pair", *merged)
                         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            if windows:
-                shard = np.concatenate(chosen)
-                order = np.argsort(shard, kind="stable")
-                numbers, first = np.unique(shard[order], return_index=True)
-                parts = np.split(np.concatenate(windows)[order], first[1:])
-                yield rows("window", numbers, np.array([len(part) for part in parts]), [part.tobytes() for part in parts])
+            if chosen:
+                yield rows("piece", *zip(*chosen, strict=True))
         yield rows("pair", *merge_pairs(keys, counts))
         for units, vectors in company.batches():
             yield rows("company", units, np.ones(len(units), np.int64), vectors)
@@ -444,15 +440,25 @@ def pair_tables(gathered: DataFrame, shares: Shares) -> np.ndarray:
 # -- the attention's weights --------------------------------------------------
 
 
-def windows_of(data: Iterable[bytes], classes: np.ndarray) -> tuple[Windows, np.ndarray]:
-    """The windows of a shard, and the classes that their targets are places in."""
-    units = np.frombuffer(b"".join(data), "<i4").reshape(-1, SPAN + 1)
+def windows_of(leads: list[int], data: list[bytes], classes: np.ndarray) -> tuple[Windows, np.ndarray]:
+    """All windows of the pieces of a shard, and the classes that their targets are places in."""
     # An order that does not depend on the table's, mixed as like texts lie together.
-    units = units[np.lexsort(units.T)]
-    units = units[np.random.default_rng(1).permutation(len(units))]
-    there = units[:, 1:] >= 0
-    codes = np.where(units >= 0, classes[np.maximum(units, 0)], END_CLASS)
-    target = np.where(there, np.arange(units.size).reshape(units.shape)[:, 1:], -1)[:, CONTEXT:]
+    held = sorted(zip(data, leads, strict=True))
+    units = np.frombuffer(b"".join(piece for piece, _ in held), "<i4")
+    lengths = np.array([len(piece) // 4 for piece, _ in held], np.int32)
+    lead = np.array([lead for _, lead in held], np.int32)
+    per = -(-(lengths - lead) // STRIDE)
+    piece = np.repeat(np.arange(len(held)), per)
+    turn = np.arange(len(piece)) - np.repeat(np.cumsum(per) - per, per)
+    mixed = np.random.default_rng(1).permutation(len(piece))
+    piece, turn = piece[mixed], turn[mixed]
+    at = (lead[piece] + turn * STRIDE - CONTEXT - 1).astype(np.int32)[:, None] + np.arange(SPAN + 1, dtype=np.int32)
+    inside = (at >= 0) & (at < lengths[piece][:, None])
+    first = (np.cumsum(lengths) - lengths).astype(np.int32)
+    codes = np.where(inside, classes[units[np.where(inside, at + first[piece][:, None], 0)]], END_CLASS)
+    there = inside[:, 1:]
+    places = np.arange(codes.size, dtype=np.int32).reshape(codes.shape)
+    target = np.where(there, places[:, 1:], -1)[:, CONTEXT:]
     return Windows(codes[:, :-1], there, target), codes.ravel()
 
 
@@ -460,7 +466,7 @@ def _descend(net: Broadcast, classes: Broadcast) -> Callable[[pa.Table], pa.Tabl
     """A round over one shard: its windows, and the weights it arrives at times these."""
 
     def descend(shard: pa.Table) -> pa.Table:
-        windows, codes = windows_of(shard["data"].to_pylist(), classes.value)
+        windows, codes = windows_of(shard["c"].to_pylist(), shard["data"].to_pylist(), classes.value)
         own = Attention()
         own.set_mean(net.value.whole(), 1)
         own.descend(codes, windows, 1)
@@ -476,7 +482,8 @@ def _add_weights(part: pa.Table) -> pa.Table:
 
 
 def fit_attention(gathered: DataFrame, steps: np.ndarray, classes: np.ndarray, shards: int) -> Attention:
-    """Tables from the steps between classes, then rounds over the gathered windows."""
+    """Tables from the steps between classes, then rounds over all gathered pieces, each piece
+    in one of them."""
     net = Attention()
     if not steps.any():
         return net
@@ -485,10 +492,10 @@ def fit_attention(gathered: DataFrame, steps: np.ndarray, classes: np.ndarray, s
     shared = context.broadcast(classes)
     # Weights are added up in as many parts as a part has shards.
     part = (F.col("key") % (isqrt(shards) + 1)).alias("part")
-    windows = gathered.filter("kind = 'window'").select("key", part, "data")
-    for _ in range(ROUNDS):
+    windows = gathered.filter("kind = 'piece'").select("key", part, "c", "data")
+    for turn in range(ROUNDS):
         work = _descend(context.broadcast(net), shared)
-        found = windows.groupBy("key").applyInArrow(work, "part long, n long, weights binary")
+        found = windows.filter(F.col("key") % ROUNDS == turn).groupBy("key").applyInArrow(work, "part long, n long, weights binary")
         found = found.groupBy("part").applyInArrow(_add_weights, "n long, weights binary").toArrow()
         if found.num_rows:
             weights = sum(np.frombuffer(each, np.int64) for each in found["weights"].to_pylist())
@@ -573,8 +580,8 @@ def fit(docs: DataFrame, target: str, path: str, id_col: str = "doc_id", text_co
     word_counts(texts).write.parquet(f"{target}/words")
     words = spark.read.parquet(f"{target}/words")
     counts = unit_counts(words, path)
-    shards = 1 + int(counts.sum() // (STRIDE * EVERY * SHARD_WINDOWS))
-    gather(texts, classify(counts), path, shards).write.partitionBy("kind").parquet(f"{target}/gathered")
+    shards = 1 + int(counts.sum() // (STRIDE * ROUNDS * SHARD_WINDOWS))
+    gather(texts, classify(counts), path, shards).write.partitionBy("kind").parquet(f"{target}/gathered", compression="zstd")
     gathered = spark.read.schema(_GATHERED).parquet(f"{target}/gathered")
     classes = np.append(fit_classes(gathered, counts), np.uint8(END_CLASS))
     shares = Shares(counts, classes)

@@ -369,3 +369,53 @@ def test_attention_sums_to_one_and_learns():
     before = net.log_probabilities(text, np.array([60]))[0][:30]
     text[40:] = 3
     assert np.allclose(before, net.log_probabilities(text, np.array([60]))[0][:30], atol=1e-5)
+
+
+def test_fit_sees_every_window_once(spark, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    spelling = lm_score.Spelling(path)
+    texts = ["one two three. " * 3000, "", "word", *(f"short text number {n}" for n in range(40))]
+    frame = spark.createDataFrame([(text, 7 * n) for n, text in enumerate(texts)], "text string, place long")
+    streams = list(spelling.streams(texts))
+    size = 2 * spelling.bpe.size
+    classes = (np.arange(size + 1) % (CLASSES - 1)).astype(np.uint8)
+    found = lm_score.gather(frame, classes[:-1], path, 3).filter("kind = 'piece'").toArrow()
+    windows, codes = lm_score.windows_of(found["c"].to_pylist(), found["data"].to_pylist(), classes)
+    assert len(set(found["key"].to_pylist())) == 3 * lm_score.ROUNDS  # all shards of all rounds
+    wanted = Windows.over(classes[np.concatenate(streams)], np.array([len(each) for each in streams]))
+    stream = classes[np.concatenate(streams)]
+
+    def as_rows(windows, codes):
+        target = np.where(windows.target >= 0, codes[windows.target].astype(int), -1)
+        seen = np.where(windows.there, windows.seen.astype(int), -1)
+        return sorted(map(tuple, np.hstack([seen, target]).tolist()))
+
+    assert as_rows(windows, codes) == as_rows(wanted, stream)
+    lengths = [len(each) for each in streams]
+    assert (windows.target >= 0).sum() == sum(lengths) and len(windows.target) > 500
+
+
+def test_gradients_against_differences():
+    dice = np.random.default_rng(3)
+    lengths = np.array([50, 1, 30, 24])
+    stream = dice.integers(0, CLASSES, lengths.sum()).astype(np.uint8)
+    net = Attention()
+    for name in net.parts:
+        own = getattr(net, name)
+        setattr(net, name, (own + dice.standard_normal(own.shape) * 0.3).astype(np.float64))
+    windows = Windows.over(stream, lengths)
+    found = net._gradients(stream, windows, np.arange(len(windows.seen)))
+
+    def loss():
+        return -net.log_probabilities(stream, lengths)[0].astype(float).mean()
+
+    for name in net.parts:
+        grad, own = found[name].ravel(), getattr(net, name).ravel()
+        at = int(np.abs(grad).argmax())
+        kept = own[at]
+        own[at] = kept + 1e-2
+        above = loss()
+        own[at] = kept - 1e-2
+        below = loss()
+        own[at] = kept
+        assert abs((above - below) / 2e-2 - grad[at]) < 2e-2 * abs(grad[at]) + 1e-4, name
