@@ -23,6 +23,8 @@ BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
 #: Below it, the pre-tokenizer and str.isalpha() know the same letters.
 _LETTERS = "\u0530"
+#: Marks that are pieces of their own after letters.
+_MARKS = (".", ",")
 _WORD = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -87,7 +89,8 @@ class ByteBpe:
         for word in words:
             if not word.isascii():
                 word = word.encode().decode("latin-1").translate(shown)
-            ids += lead
+            if lead:
+                ids += lead
             ids += [token.id for token in tokenize(before + word)]
             ends.append(4 * len(ids))
         data = array("I", ids).tobytes()
@@ -152,9 +155,9 @@ class ByteBpe:
         return self._encode_regular(words)
 
     def _encode_regular(self, words: list[str], mark: str = " ") -> list[bytes]:
-        stems = [word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word for word in words]
+        stems = [word[:-1] if word.endswith(_MARKS) and word[:-1].isalpha() else word for word in words]
         plain = dict.fromkeys(stems)
-        letters = [word for word in plain if word.isalpha() and max(word) < _LETTERS] if self._direct else []
+        letters = [word for word in plain if word.isalpha() and (word.isascii() or max(word) < _LETTERS)] if self._direct else []
         ids = dict(zip(letters, self._by_model(letters, mark), strict=True))
         others = [word for word in plain if word not in ids]
         ids |= zip(others, self._encode_joined(others, mark), strict=True)
@@ -220,12 +223,19 @@ class ByteBpe:
     def _batch(self, texts: list[str]) -> list[bytes]:
         words = [text.split(" ") for text in texts]
         heads = self._encode([each.pop(0) for each in words])
-        passing = self._learn(words)
+        # Every word is looked up once, and only new ones again after they are learnt.
+        get = self.known.get
+        rows = [list(map(get, each)) for each in words]
+        unknown = [[word for word, ids in zip(each, row, strict=True) if ids is None] for each, row in zip(words, rows, strict=True)]
+        passing = self._learn(unknown)
         lookup = self.known.__getitem__
         found: list[bytes | None] = []
-        for head, each in zip(heads, words, strict=True):
+        for head, row, new in zip(heads, rows, unknown, strict=True):
+            if new:
+                fresh = map(lookup, new)
+                row = [next(fresh) if ids is None else ids for ids in row]
             try:
-                found.append(head + b"".join(map(lookup, each)))
+                found.append(head + b"".join(row))
             except TypeError:  # a word with white space at an end
                 found.append(None)
         self._forget(passing)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -257,3 +258,30 @@ def test_a_worker_holds_little(monkeypatch):
     many = [list(stream) for text in texts for stream in spelling.streams([text])]
     assert len(spelling.known) <= spelling.n_base + 50
     assert many == [list(stream) for stream in lm_score.Spelling(BYTE).streams(texts)]
+
+
+def test_known_words_are_looked_up_once():
+    asked = []
+
+    class Counting(dict):
+        def get(self, word):
+            asked.append(word)
+            return super().get(word)
+
+        def __contains__(self, word):
+            asked.append(word)
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    bpe = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one two three, four. " * 50 + "end", "three, two one", "a  b two\n\nthree one"]
+    wanted = [array("I", each.ids).tobytes() for each in bpe.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert bpe.encode(texts) == wanted
+    bpe.known = Counting(bpe.known)
+    assert bpe.encode(texts) == wanted
+    asked.clear()
+    assert bpe.encode(texts[:2]) == wanted[:2]
+    assert len(asked) <= sum(text.count(" ") for text in texts[:2])
