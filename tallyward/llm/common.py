@@ -94,11 +94,16 @@ def cut(text: str, size: int = PIECE_BYTES) -> Iterator[str]:
 
 def by_bytes(texts: list[str], limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts with about `limit` characters each."""
+    return by_lengths(list(map(len, texts)), limit)
+
+
+def by_lengths(lengths: list[int], limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of these lengths, with about `limit` each."""
     start = held = 0
-    for at, text in enumerate(texts):
-        if held and held + len(text) > limit:
+    for at, length in enumerate(lengths):
+        if held and held + length > limit:
             yield start, at
             start, held = at, 0
-        held += len(text) + 16
-    if start < len(texts):
-        yield start, len(texts)
+        held += length + 16
+    if start < len(lengths):
+        yield start, len(lengths)

@@ -3,7 +3,9 @@
 The matrix is kept as compressed rows (CSR): a shard has the counts of some documents' words,
 and columns are numbers of one dictionary over all documents.  A shard first numbers its
 words itself; only its distinct words, not their occurrences, move to be numbered over all
-shards, so a word that all documents share is one row per shard.
+shards, so a word that all documents share is one row per shard.  A shard leaves its task in
+pieces of some documents and the words that are new with them: what a task holds of a shard
+is its distinct words and one piece.
 
 Five filters are judged for every document: A and B by the matrix (row sums and numbers of
 nonzero cells), C and D by characters, E by the least id among equal texts.  What a document
@@ -22,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, permutations
+from itertools import chain, islice, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyward.llm.common import by_bytes
+from tallyward.llm.common import by_lengths
 from tallyward.session import scratch_path
 
 FILTERS = "ABCDE"
@@ -44,17 +46,17 @@ _SYMBOL = re.compile(rb"[#$%&*|]")
 _NO_CAPITAL = bytes(set(range(256)) - set(range(65, 91)))
 _LATER_BYTE = bytes(range(0x80, 0xC0))
 
-#: Of the documents of a shard, and where the row of each starts.
+#: Of the documents of a piece or a shard, and where the row of each starts.
 _ROWS = [
     ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("fails", pa.list_(pa.int32())),
     ("digests", pa.list_(pa.binary())), ("starts", pa.list_(pa.int64())),
 ]
 _LOCAL = pa.schema(
-    [("shard", pa.int64()), ("words", pa.list_(pa.binary())), *_ROWS]
+    [("shard", pa.int64()), ("piece", pa.int32()), ("known", pa.int32()), ("words", pa.list_(pa.binary())), *_ROWS]
     + [("columns", pa.binary()), ("counts", pa.binary())]
 )
 _LOCAL_DDL = (
-    "shard long, words array<binary>, ids array<long>, parts array<string>, fails array<int>, "
+    "shard long, piece int, known int, words array<binary>, ids array<long>, parts array<string>, fails array<int>, "
     "digests array<binary>, starts array<long>, columns binary, counts binary"
 )
 #: A shard: its documents, where the row of each starts, columns in ascending order, counts.
@@ -81,60 +83,53 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 class Shard:
-    """Documents' words as compressed rows; columns are numbers of the shard's own words."""
+    """Documents' words as compressed rows, a piece at a time; columns are numbers of the
+    shard's own words."""
 
-    def __init__(self) -> None:
+    def __init__(self, shard: int) -> None:
+        self.shard = shard
         self.number: dict[bytes, int] = {}
-        self.documents: tuple[list, ...] = ([], [], [], [])  # ids, parts, fails, digests
-        self.sizes: list[np.ndarray] = []
-        self.columns: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.pieces = 0
 
-    def add(self, ids: list, parts: list, texts: list[bytes]) -> None:
-        number = self.number
+    def piece(self, ids: list, parts: list, texts: list[bytes]) -> pa.RecordBatch:
+        """The rows of these documents, with the words that the pieces before do not have."""
+        number, known = self.number, len(self.number)
         words = [text.split() for text in texts]
         flat = [number.setdefault(word, len(number)) for word in chain.from_iterable(words)]
         row = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
         width = max(1, len(number))
         cells, counts = np.unique(row * width + np.array(flat, np.int64), return_counts=True)
         row, columns = np.divmod(cells, width)
-        fails = [fails_by_characters(text) for text in texts]
-        digests = [hashlib.sha256(text).digest() for text in texts]
-        for own, values in zip(self.documents, (ids, parts, fails, digests), strict=True):
-            own += values
-        self.sizes.append(np.bincount(row, minlength=len(words)))
-        self.columns.append(columns.astype(np.int32))
-        self.counts.append(counts.astype(np.int32))
-
-    def batch(self, shard: int) -> pa.RecordBatch:
-        starts = np.append(0, np.cumsum(np.concatenate(self.sizes)))
-        columns, counts = (np.concatenate(part) for part in (self.columns, self.counts))
+        starts = np.append(0, np.cumsum(np.bincount(row, minlength=len(words))))
         # Columns ascend in a row, so all but a row's first are steps from the one before.
         steps = np.diff(columns, prepend=0)
         first = starts[:-1][np.diff(starts) > 0]
         steps[first] = columns[first]
-        values = [shard, list(self.number), *self.documents, starts, planes(steps), planes(counts)]
+        new = list(islice(reversed(number), len(number) - known))[::-1]
+        fails = [fails_by_characters(text) for text in texts]
+        digests = [hashlib.sha256(text).digest() for text in texts]
+        values = [self.shard, self.pieces, known, new, ids, parts, fails, digests, starts, planes(steps), planes(counts)]
+        self.pieces += 1
         return pa.RecordBatch.from_arrays(
             [pa.array([value], field.type) for value, field in zip(values, _LOCAL, strict=True)], schema=_LOCAL
         )
 
 
 def local_shards(docs: DataFrame, part: Column, id_col: str, text_col: str) -> DataFrame:
-    """Shards whose columns are numbers of their own words, in order of first occurrence."""
+    """Shards in pieces, whose columns are numbers of the shard's own words in order of first
+    occurrence; `known` of them are in the pieces before, `words` has those that follow."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, shard, held = TaskContext.get().partitionId() << 33, Shard(), 0
+        shard, held = Shard(TaskContext.get().partitionId() << 33), 0
         for batch in batches:
-            ids, parts = (batch.column(at).to_pylist() for at in (0, 1))
-            texts = [(text or "").encode() for text in batch.column(2).to_pylist()]
-            for a, b in by_bytes(texts):
-                shard.add(ids[a:b], parts[a:b], texts[a:b])
-                held += sum(map(len, texts[a:b]))
+            texts = batch.column(2).cast(pa.binary())
+            lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            for a, b in by_lengths(lengths):
                 if held >= SHARD:
-                    yield shard.batch(number)
-                    number, shard, held = number + 1, Shard(), 0
-        if shard.sizes:
-            yield shard.batch(number)
+                    shard, held = Shard(shard.shard + 1), 0
+                ids, parts, own = (column.slice(a, b - a).to_pylist() for column in (*batch.columns[:2], texts))
+                yield shard.piece(ids, parts, [text or b"" for text in own])
+                held += sum(lengths[a:b])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), part.alias("part"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, _LOCAL_DDL)
@@ -163,47 +158,68 @@ def number_words(local: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(numbers), kept], names=["of", "place", "number", "word"]
             )
 
-    words = local.select(F.col("shard").alias("of"), F.posexplode("words").alias("place", "word"))
+    words = local.select(F.col("shard").alias("of"), "known", F.posexplode("words").alias("at", "word"))
+    words = words.select("of", (F.col("known") + F.col("at")).alias("place"), "word")
     ordered = words.repartition("word").sortWithinPartitions("word")
     return ordered.mapInArrow(run, "of long, place int, number long, word binary")
 
 
-def _global_rows(numbers: pa.Table, shard: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the shard's rows start, columns by the dictionary, ascending in a row, and counts."""
-    number = np.empty(numbers.num_rows, np.int64)
-    number[numbers["place"].to_numpy()] = numbers["number"].to_numpy()
-    starts = shard["starts"].combine_chunks().values.to_numpy()
-    steps, counts = (from_planes(shard[name][0].as_py()) for name in ("columns", "counts"))
-    total = np.cumsum(steps)
-    first = starts[:-1][np.diff(starts) > 0]
-    columns = total - np.repeat(total[first] - steps[first], np.diff(np.append(first, len(total))))
-    # Numbers ascend with their rank, so that places by rank sort as they do.
-    rank = np.empty(len(number), np.int64)
-    rank[np.argsort(number)] = np.arange(len(number))
-    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    order = np.argsort(row * max(1, len(number)) + rank[columns])
-    return starts, number[columns[order]], counts[order]
+class Numbered:
+    """The pieces of a shard by the dictionary's numbers."""
+
+    def __init__(self, numbers: pa.Table, shard: pa.Table):
+        self.number = np.empty(numbers.num_rows, np.int64)
+        self.number[numbers["place"].to_numpy()] = numbers["number"].to_numpy()
+        # Numbers ascend with their rank, so that places by rank sort as they do.
+        self.rank = np.empty(len(self.number), np.int64)
+        self.rank[np.argsort(self.number)] = np.arange(len(self.number))
+        self.shard = shard
+
+    def rows(self) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each piece, where its rows start, columns by the dictionary, ascending in a row, and
+        counts."""
+        for at in np.argsort(self.shard["piece"].to_numpy()).tolist():
+            piece = self.shard.slice(at, 1)
+            starts = _flat(piece, "starts").to_numpy()
+            steps, counts = (from_planes(piece[name][0].as_py()) for name in ("columns", "counts"))
+            total = np.cumsum(steps)
+            first = starts[:-1][np.diff(starts) > 0]
+            columns = total - np.repeat(total[first] - steps[first], np.diff(np.append(first, len(total))))
+            row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            order = np.argsort(row * max(1, len(self.number)) + self.rank[columns])
+            yield piece, starts, self.number[columns[order]], counts[order]
+
+
+def _flat(piece: pa.Table, name: str) -> pa.Array:
+    """What a piece has in a list."""
+    return pc.list_flatten(piece[name]).combine_chunks()
 
 
 def _global_shard(numbers: pa.Table, shard: pa.Table) -> pa.Table:
-    _, columns, counts = _global_rows(numbers, shard)
-    counts = counts.astype(np.int32)
-    kept = shard.select(["shard", *(name for name, _ in _ROWS)])
-    for name, values in (("columns", columns), ("counts", counts)):
-        kept = kept.append_column(name, pa.array([values], pa.list_(pa.from_numpy_dtype(values.dtype))))
-    return kept
+    held, starts = [], np.zeros(1, np.int64)
+    for piece, own, columns, counts in Numbered(numbers, shard).rows():
+        starts = np.append(starts, starts[-1] + own[1:])
+        lists = [_flat(piece, name) for name, _ in _ROWS[:-1]]
+        held.append([*lists, pa.array(columns), pa.array(counts.astype(np.int32))])
+    *lists, columns, counts = (pa.concat_arrays(column) for column in zip(*held, strict=True))
+    names = ["shard", *(name for name, _ in _ROWS), "columns", "counts"]
+    whole = [pa.ListArray.from_arrays(pa.array([0, len(each)], pa.int32()), each) for each in (*lists, pa.array(starts), columns, counts)]
+    return pa.table([shard["shard"].combine_chunks().slice(0, 1), *whole], names=names)
 
 
 def _counted_rows(numbers: pa.Table, shard: pa.Table) -> pa.Table:
-    starts, columns, counts = _global_rows(numbers, shard)
-    total = np.append(0, np.cumsum(counts.astype(np.int64)))
-    # A row's nonzero cells are its distinct columns, which ascend.
-    new = np.append(True, columns[1:] != columns[:-1])[: len(columns)]
-    new[starts[:-1][np.diff(starts) > 0]] = True
-    distinct = np.append(0, np.cumsum(new))
-    own = [shard[name].combine_chunks().values for name in ("ids", "parts", "digests", "fails")]
-    sums = [pa.array(np.diff(each[starts])) for each in (total, distinct)]
-    return pa.table([*own, *sums], names=["id", "part", "digest", "fails", "n_words", "n_distinct"])
+    names = ["id", "part", "digest", "fails", "n_words", "n_distinct"]
+    found = []
+    for piece, starts, columns, counts in Numbered(numbers, shard).rows():
+        total = np.append(0, np.cumsum(counts))
+        # A row's nonzero cells are its distinct columns, which ascend.
+        new = np.append(True, columns[1:] != columns[:-1])[: len(columns)]
+        new[starts[:-1][np.diff(starts) > 0]] = True
+        distinct = np.append(0, np.cumsum(new))
+        own = [_flat(piece, name) for name in ("ids", "parts", "digests", "fails")]
+        sums = [pa.array(np.diff(each[starts])) for each in (total, distinct)]
+        found.append(pa.table([*own, *sums], names=names))
+    return pa.concat_tables(found)
 
 
 def _with_numbers(local: DataFrame, numbers: DataFrame, work: Callable, schema: str) -> DataFrame:

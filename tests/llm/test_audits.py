@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.llm import filter_audit, spelling_groups, text_sketches
+from tallyward.llm.common import PIECE_BYTES
 from tallyward.llm.queries import ORACLE_SQL, QUERIES
 
 #: Names of internal columns, a dot and a map, beside the columns of documents.
@@ -288,6 +289,21 @@ def test_matrix_has_every_count(spark, docs, tmp_path, monkeypatch):
     assert found == want
 
 
+def test_a_shard_leaves_its_task_in_pieces(spark):
+    """A row that holds a whole shard takes its size several times in each process."""
+    texts = [" ".join(f"w{n * m % 5_003}" for m in range(4_000)) for n in range(1, 200)]
+    rows = [(n, text if n % 7 else None) for n, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    local = filter_audit.local_shards(frame, F.lit("x"), "doc_id", "text").collect()
+    size = {n: len(text or "") for n, text in rows}
+    assert sum(size.values()) > 3 * PIECE_BYTES
+    assert len({row["shard"] for row in local}) == 1 and len(local) > 3
+    assert all(sum(size[n] for n in row["ids"]) <= PIECE_BYTES for row in local)
+    words = [bytes(word) for row in sorted(local, key=lambda row: row["piece"]) for word in row["words"]]
+    assert len(words) == len(set(words)) == 5_003
+    assert sorted(n for row in local for n in row["ids"]) == sorted(size)
+
+
 @pytest.mark.parametrize("name", ["op11_spelling_groups", "op12_text_sketches", "op13_filter_audit"])
 def test_queries_cover_their_tables(spark, table, sf_dir, name):
     rows = QUERIES[name](spark, sf_dir)
