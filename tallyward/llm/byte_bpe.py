@@ -2,17 +2,20 @@
 
 A single space between two characters that are not white space always begins a new
 piece for the pre-tokenizer, so the ids of a text are those of its first word and of
-each further word with a space before it.  Each worker encodes a word once.
+each further word with a space before it.  Each worker encodes a word once; the words of
+some texts at a time are told apart by Arrow, so that Python sees each of them once.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
-from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tallyward.llm.common import by_bytes, cut
 
@@ -23,8 +26,8 @@ BATCH_BYTES = 3 << 19
 _CALL_BYTES = 1 << 18
 #: Below it, the pre-tokenizer and str.isalpha() know the same letters.
 _LETTERS = "\u0530"
-#: Marks that are pieces of their own after letters.
-_MARKS = (".", ",")
+#: Most marks after a word's letters that are looked up by themselves, and most that are remembered.
+_TAIL, _TAILS = 8, 10_000
 _WORD = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -33,6 +36,11 @@ def _is_odd(word: str) -> bool:
     return not word or word.strip() != word
 
 
+def _has_letters_only(word: str) -> bool:
+    """Whether a word is of letters that the pre-tokenizer knows as such."""
+    return word.isalpha() and (word.isascii() or max(word) < _LETTERS)
+
+
 class ByteBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,9 +60,13 @@ class ByteBpe:
         # do not print follow each other from 256.
         unseen = [byte for byte in range(256) if byte < 33 or 127 <= byte <= 160 or byte == 173]
         self._shown = {byte: chr(256 + n) for n, byte in enumerate(unseen)}
+        self._table = "".join(self._shown.get(byte, chr(byte)) for byte in range(256))
         self._line_end = self.tokenizer.token_to_id(self._shown[10])
         self._direct = self._takes_words()
-        self._marks = {mark: self._encode([mark])[0] for mark in ".,"}
+        # Marks that are one piece after letters: no added token can begin or end among them.
+        added = "".join(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        self._marks = "".join(set(string.punctuation).difference(added)) if self._direct else ""
+        self._tails: dict[str, bytes] = {}
 
     def _takes_words(self) -> bool:
         """Whether a word of letters is a piece, and no added token can be a part of it."""
@@ -82,13 +94,13 @@ class ByteBpe:
         The pre-tokenizer would leave such a word in one piece, so the library's model
         takes it as it is.
         """
-        tokenize, shown = self.tokenizer.model.tokenize, self._shown
-        before, lead = (shown[32], []) if mark == " " else ("", [self._line_end])
+        tokenize, table = self.tokenizer.model.tokenize, self._table
+        before, lead = (table[32], []) if mark == " " else ("", [self._line_end])
         ids: list[int] = []
         ends = [0]
         for word in words:
             if not word.isascii():
-                word = word.encode().decode("latin-1").translate(shown)
+                word = word.encode().decode("latin-1").translate(table)
             if lead:
                 ids += lead
             ids += [token.id for token in tokenize(before + word)]
@@ -101,8 +113,8 @@ class ByteBpe:
         many each has; and the other words, which `encode_words` takes."""
         if not self._direct:
             return [], [], [], words
-        tokenize, shown = self.tokenizer.model.tokenize, self._shown
-        before = shown[32]
+        tokenize, table = self.tokenizer.model.tokenize, self._table
+        before = table[32]
         letters, ids, sizes, others = [], [], [], []
         for word in words:
             if not word.isalpha():
@@ -113,7 +125,7 @@ class ByteBpe:
                 if max(word) >= _LETTERS:
                     others.append(word)
                     continue
-                plain = word.encode().decode("latin-1").translate(shown)
+                plain = word.encode().decode("latin-1").translate(table)
             tokens = tokenize(before + plain)
             ids += [token.id for token in tokens]
             sizes.append(len(tokens))
@@ -143,8 +155,8 @@ class ByteBpe:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of words, each with a space before it; none is remembered.
 
-        A mark after letters is a piece of its own, so a word is encoded once with and
-        without it.
+        Marks after letters are a piece of their own, so a word is encoded once with and
+        without them.
         """
         odd = [word for word in words if _is_odd(word)]
         if odd:
@@ -154,51 +166,67 @@ class ByteBpe:
             return [own[word] for word in words]
         return self._encode_regular(words)
 
+    def _tail(self, marks: str) -> bytes:
+        ids = self._tails.get(marks)
+        if ids is None:
+            if len(self._tails) >= _TAILS:
+                self._tails.clear()
+            ids = self._tails[marks] = self._encode([marks])[0]
+        return ids
+
     def _encode_regular(self, words: list[str], mark: str = " ") -> list[bytes]:
-        stems = [word[:-1] if word.endswith(_MARKS) and word[:-1].isalpha() else word for word in words]
-        plain = dict.fromkeys(stems)
-        letters = [word for word in plain if word.isalpha() and (word.isascii() or max(word) < _LETTERS)] if self._direct else []
+        known, marks, tail = self.known if mark == " " else self.lines, self._marks, self._tail
+        stems = []
+        for word in words:
+            stem = word.rstrip(marks) if marks else word
+            if stem is not word and not (len(word) - len(stem) <= _TAIL and _has_letters_only(stem)):
+                stem = word
+            stems.append(stem)
+        plain = [stem for stem in dict.fromkeys(stems) if stem not in known]
+        letters = [word for word in plain if _has_letters_only(word)] if self._direct else []
         ids = dict(zip(letters, self._by_model(letters, mark), strict=True))
         others = [word for word in plain if word not in ids]
         ids |= zip(others, self._encode_joined(others, mark), strict=True)
-        marks = self._marks
         return [
-            ids[stem] if stem is word or stem == word else ids[stem] + marks[word[-1]]
+            (ids[stem] if stem in ids else known[stem]) + (b"" if stem is word else tail(word[len(stem) :]))
             for word, stem in zip(words, stems, strict=True)
         ]
 
-    def _learn(self, texts: list[list[str]]) -> list[str]:
-        """Have `known` hold every word of the texts, with the ids of the word and a space
-        before it; returns those that the caller is to forget after use.
+    def _ids_of(self, words: list[str]) -> list[bytes | None]:
+        """The ids of distinct words, each with a space before it.
 
         A word that is empty or has white space at an end has None: there the space
         does not begin a piece.
         """
-        known = self.known
-        new: set[str] = set().union(*(filterfalse(known.__contains__, words) for words in texts))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*texts)
-        odd = {word for word in new if _is_odd(word)}
-        fresh = self._encode_new([word for word in new if word not in odd])
-        known.update(fresh)
-        known.update(dict.fromkeys(odd))
-        # Words across a line end hardly come again; their halves do.
-        return [word for word in new if "\n" in word]
-
-    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
-        """A single line end between two others begins a piece, as a space does, so what
+        found = list(map(self.known.get, words))
+        new = [word for word, ids in zip(words, found, strict=True) if ids is None and not _is_odd(word)]
+        if not new:
+            return found
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        fresh, passing = self._encode_new(new)
+        self.known.update(fresh)
+        fresh |= passing
+        return [fresh.get(word) if ids is None else ids for word, ids in zip(words, found, strict=True)]
+
+    def _encode_new(self, words: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """The ids of new words, and of those not worth remembering: words across a line end
+        hardly come again, their halves do.
+
+        A single line end between two others begins a piece, as a space does, so what
         stands on both sides of it is encoded by itself."""
         plain, halves = [], {}
         for word in words:
-            before, end, after = word.partition("\n")
-            if end and "\n" not in after and not _is_odd(before) and not _is_odd(after):
-                halves[word] = before, after
-            else:
-                plain.append(word)
+            if "\n" in word:
+                before, _, after = word.partition("\n")
+                if "\n" not in after and not _is_odd(before) and not _is_odd(after):
+                    halves[word] = before, after
+                    continue
+            plain.append(word)
         wanted = {before for before, _ in halves.values()}.difference(self.known, plain)
         plain += wanted
         fresh = dict(zip(plain, self._encode_regular(plain), strict=True))
+        passing = {word: fresh.pop(word) for word in words if "\n" in word and word not in halves}
         if halves:
             starts = [*{after for _, after in halves.values()}.difference(self.lines)]
             if len(self.lines) + len(starts) > REMEMBERED // 4:
@@ -207,8 +235,8 @@ class ByteBpe:
             self.lines.update(zip(starts, self._encode_regular(starts, "\n"), strict=True))
             for word, (before, after) in halves.items():
                 first = fresh[before] if before in fresh else self.known[before]
-                fresh[word] = first + self.lines[after]
-        return fresh
+                passing[word] = first + self.lines[after]
+        return fresh, passing
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -221,39 +249,39 @@ class ByteBpe:
         return found
 
     def _batch(self, texts: list[str]) -> list[bytes]:
-        words = [text.split(" ") for text in texts]
-        heads = self._encode([each.pop(0) for each in words])
-        # Every word is looked up once, and only new ones again after they are learnt.
-        get = self.known.get
-        rows = [list(map(get, each)) for each in words]
-        unknown = [[word for word, ids in zip(each, row, strict=True) if ids is None] for each, row in zip(words, rows, strict=True)]
-        passing = self._learn(unknown)
-        lookup = self.known.__getitem__
-        found: list[bytes | None] = []
-        for head, row, new in zip(heads, rows, unknown, strict=True):
-            if new:
-                fresh = map(lookup, new)
-                row = [next(fresh) if ids is None else ids for ids in row]
-            try:
-                found.append(head + b"".join(row))
-            except TypeError:  # a word with white space at an end
-                found.append(None)
-        self._forget(passing)
-        return [self._irregular(text) if ids is None else ids for text, ids in zip(texts, found, strict=True)]
-
-    def _forget(self, words: list[str]) -> None:
-        for word in words:
-            del self.known[word]
+        heads = self._encode([text.partition(" ")[0] for text in texts])
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.values.dictionary_encode()
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        codes = np.delete(coded.indices.to_numpy(), offsets[:-1])  # without the heads
+        bounds = offsets - np.arange(len(offsets))
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes] = True
+        codes = (np.cumsum(used) - 1)[codes]
+        ids = self._ids_of(coded.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist())
+        odd = np.fromiter((each is None for each in ids), bool, len(ids))
+        ids = [each or b"" for each in ids]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(lengths) - lengths
+        counts = lengths[codes]
+        ends = np.append(0, np.cumsum(counts))
+        places = np.repeat(first[codes] - ends[:-1], counts) + np.arange(ends[-1])
+        data = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        spans = (4 * ends[bounds]).tolist()
+        irregular = np.diff(np.append(0, np.cumsum(odd[codes]))[bounds]) > 0
+        return [
+            self._irregular(text) if bad else head + data[a:b]
+            for text, bad, head, a, b in zip(texts, irregular.tolist(), heads, spans, spans[1:], strict=False)
+        ]
 
     def _irregular(self, text: str) -> bytes:
         """Split only where a space does begin a piece."""
         first, *middle = _WORD.split(text)
         last = middle.pop() if middle else None
         ends = self._encode([first] if last is None else [first, " " + last])
-        passing = self._learn([middle])
-        ids = b"".join([ends[0], *map(self.known.__getitem__, middle), *ends[1:]])
-        self._forget(passing)
-        return ids
+        distinct = list(dict.fromkeys(middle))
+        ids = dict(zip(distinct, self._ids_of(distinct), strict=True))
+        return b"".join([ends[0], *map(ids.__getitem__, middle), *ends[1:]])
 
 
 _ENCODERS: dict[str, ByteBpe] = {}

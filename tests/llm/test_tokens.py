@@ -73,6 +73,20 @@ def test_packing_round_trip_and_random_access(width):
         assert token_files.unpack(packed, width, start, count).tolist() == ids[start : start + count].tolist()
 
 
+def test_a_word_of_letters_is_encoded_once_whatever_marks_follow(monkeypatch):
+    taken, by_model = Counter(), byte_bpe.ByteBpe._by_model
+
+    def counted(self, words, mark):
+        taken.update((word, mark) for word in words)
+        return by_model(self, words, mark)
+
+    monkeypatch.setattr(byte_bpe.ByteBpe, "_by_model", counted)
+    bpe, (encode, _) = byte_bpe.ByteBpe(BYTE), library(BYTE)
+    for texts in (["a word réel"], ["a word. word, réel!!", "it word'. word's word<|", "a réel\nword.$$$ " + "word!!!!!!!!!! " * 2]):
+        assert [ids_of(each) for each in bpe.encode(texts)] == list(map(encode, texts))
+    assert taken["word", " "] == taken["réel", " "] == taken["word", "\n"] == 1
+
+
 def test_token_files(spark, docs, none, tmp_path):
     encode, _ = library(BYTE)
     token_files.write_tokens(docs, str(tmp_path / "a"), BYTE)
