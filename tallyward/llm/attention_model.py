@@ -162,9 +162,10 @@ class Attention:
         """
         meet = self.query @ np.clip(self.key, -9, 9).T
         pairs = (seen[:, CONTEXT:].astype(np.int64) * CLASSES)[:, :, None] + seen[:, None, :]
-        v = np.concatenate([self.value, np.ones((CLASSES, 1), np.float32)], axis=1).take(seen, axis=0)
+        # All places lie in their tables; with "clip", take() need not look at them first.
+        v = np.concatenate([self.value, np.ones((CLASSES, 1), np.float32)], axis=1).take(seen, axis=0, mode="clip")
         v *= there[:, :, None]
-        weight = np.exp(np.minimum(meet, 60)).ravel().take(pairs)
+        weight = np.exp(np.minimum(meet, 60)).ravel().take(pairs, mode="clip")
         weight *= np.exp(self.near)[self._distance] * self._visible
         mixed = np.matmul(weight, v)
         total = np.maximum(mixed[:, :, -1:], np.float32(1e-30))
@@ -191,7 +192,7 @@ class Attention:
                     continue
                 first = int(wanted[some[0]]) < STARTS
                 logits = _times(hidden[some], self.out_starts if first else self.out_rest)
-                logits += (self.starts if first else self.rest).take(last[some], axis=0)
+                logits += (self.starts if first else self.rest).take(last[some], axis=0, mode="clip")
                 chosen = logits[np.arange(len(some)), wanted[some] - (0 if first else STARTS)]
                 np.exp(np.minimum(logits, 60, out=logits), out=logits)
                 total = np.log(_times(logits, np.ones((logits.shape[1], 1), np.float32))[:, 0])
@@ -244,7 +245,7 @@ class Attention:
     def _gradients(self, stream: np.ndarray, windows: Windows, some: np.ndarray) -> dict[str, np.ndarray]:
         seen, there, target = windows.seen[some], windows.there[some], windows.target[some].ravel()
         pairs, weight, total, v, mixed = self._attend(seen, there)
-        weight *= there[:, None, :] / total
+        weight *= there[:, None, :].astype(np.float32)
         keep = np.flatnonzero(target >= 0)
         last = seen[:, CONTEXT:].ravel()[keep]
         own, wanted = mixed.reshape(-1, WIDTH)[keep], stream[target[keep]]
@@ -260,9 +261,9 @@ class Attention:
             some = some[np.argsort(last[some], kind="stable")]
             table, out, rows = getattr(self, name), getattr(self, f"out_{name}"), own[some]
             logits = _times(rows, out)
-            logits += table.take(last[some], axis=0)
+            logits += table.take(last[some], axis=0, mode="clip")
             np.exp(np.minimum(logits, 60, out=logits), out=logits)
-            logits /= logits.sum(axis=1, keepdims=True) * np.float32(len(keep))
+            logits /= _times(logits, np.full((logits.shape[1], 1), len(keep), np.float32))
             logits[np.arange(len(some)), wanted[some] - base] -= np.float32(1 / len(keep))
             found[name] = np.zeros_like(table)
             if len(some):
@@ -272,8 +273,9 @@ class Attention:
             d_own[some] += _times(logits, out.T)
         d_mixed = np.zeros_like(mixed)
         d_mixed.reshape(-1, WIDTH)[keep] = d_own
+        d_mixed /= total  # instead of the weights, which are three times as many
         d_weight = np.matmul(d_mixed, v.transpose(0, 2, 1))
-        d_weight -= (d_mixed * mixed).sum(axis=2, keepdims=True)
+        d_weight -= np.einsum("nqw,nqw->nq", d_mixed, mixed)[:, :, None]
         d_score = np.multiply(weight, d_weight, out=d_weight)
         meet = np.bincount(pairs.ravel(), d_score.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32)
         found["query"], found["key"] = meet @ np.clip(self.key, -9, 9), meet.T @ self.query

@@ -282,10 +282,15 @@ class Company:
             yield some, [row.tobytes() for row in self.sums[at : at + len(some)]]
 
 
-def merge_pairs(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their counts."""
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
+def add_pairs(held: tuple[np.ndarray, np.ndarray], new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their counts, with further keys that count one each.
+
+    These are sorted without their places, which is much less work, and then few."""
+    if not new:
+        return held
+    keys, counts = (np.concatenate(both) for both in zip(held, np.unique(np.concatenate(new), return_counts=True), strict=True))
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)
 
 
 def pieces(stream: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -316,7 +321,8 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling, classes, company = _held("gather", path, lambda: Spelling(path)), shared.value, Company(size)
-        keys, counts, waiting = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held, new, waiting = none, [], 0
         for batch in batches:
             chosen: list[tuple[int, int, bytes]] = []
             places, done = batch.column(1).to_pylist(), 0
@@ -325,8 +331,7 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
                 first = np.cumsum(sizes) - sizes
                 before = np.append(size - 1, units[:-1])  # a text begins after an end
                 before[first] = size - 1
-                keys.append(before * size + units)
-                counts.append(np.ones(len(units), np.int64))
+                new.append(before * size + units)
                 waiting += len(units)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 cells, n = np.unique(owner * size + units, return_counts=True)
@@ -341,14 +346,13 @@ def gather(texts: DataFrame, first: np.ndarray, path: str, shards: int) -> DataF
                         chosen.append(((place + number * 40503) % (shards * ROUNDS), lead, piece.tobytes()))
                 done += len(sizes)
                 if waiting > _PAIRS:
-                    merged = merge_pairs(keys, counts)
-                    keys, counts, waiting = [merged[0]], [merged[1]], 0
-                    if len(merged[0]) > _PAIRS // 2:
-                        yield rows("pair", *merged)
-                        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                    held, new, waiting = add_pairs(held, new), [], 0
+                    if len(held[0]) > _PAIRS // 2:
+                        yield rows("pair", *held)
+                        held = none
             if chosen:
                 yield rows("piece", *zip(*chosen, strict=True))
-        yield rows("pair", *merge_pairs(keys, counts))
+        yield rows("pair", *add_pairs(held, new))
         for units, vectors in company.batches():
             yield rows("company", units, np.ones(len(units), np.int64), vectors)
 

@@ -244,6 +244,17 @@ def test_scores_word_by_word(trained):
         assert [log for _, log in found] == pytest.approx([log for _, log in outside], abs=1e-3)
 
 
+def test_pairs_are_counted_as_they_are_added():
+    draw = np.random.default_rng(3)
+    held, want = (np.zeros(0, np.int64), np.zeros(0, np.int64)), Counter()
+    for sizes in ((5, 0, 900), (), (4_000,)):
+        new = [draw.integers(0, 1 << 33, 50)[draw.integers(0, 50, size)] for size in sizes]
+        held = lm_score.add_pairs(held, new)
+        want.update(key for each in new for key in each.tolist())
+        assert dict(zip(*map(np.ndarray.tolist, held), strict=True)) == want
+        assert len(held[0]) == len(want)
+
+
 def test_gradients_against_differences():
     draw = np.random.default_rng(4)
     net = lm_score.Attention()
