@@ -11,6 +11,7 @@ those: tables by the unit before, plus one head of attention over a window of un
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 
@@ -21,7 +22,7 @@ WIDTH = 12
 #: Classes of single units that begin a word, of others, and shared ones of either sort.
 SINGLE_STARTS, SINGLE_REST, SHARED = 32, 36, 24
 #: Windows computed at a time.
-_WINDOWS = 512
+_WINDOWS = 96
 
 #: A parameter's unit as a whole number.
 _PARTS = 1 << 24
@@ -113,20 +114,26 @@ class Windows:
     there: np.ndarray  # [n, SPAN] whether the position lies in the text
     target: np.ndarray  # [n, STRIDE] places in the stream; -1 outside
 
+    def inside(self, some: slice | np.ndarray) -> np.ndarray:
+        """The classes that some windows see, places outside the texts as one more."""
+        return np.where(self.there[some], self.seen[some], np.uint8(CLASSES))
+
     @classmethod
     def over(cls, stream: np.ndarray, lengths: np.ndarray) -> Windows:
         """`stream` holds the classes of the texts' units, each text closed by its end."""
         per = -(-lengths // STRIDE)
         doc = np.repeat(np.arange(len(lengths)), per)
-        first = np.cumsum(lengths) - lengths
+        start = np.cumsum(lengths) - lengths
         turn = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-        at = (turn * STRIDE - CONTEXT)[:, None] + np.arange(SPAN)
-        there = (at >= 0) & (at < lengths[doc][:, None])
-        place = first[doc][:, None] + at
-        before = np.clip(place - 1, 0, max(0, len(stream) - 1))
-        seen = np.where(at == 0, END_CLASS, stream[before])  # a text begins after an end
-        target = np.where(there, place, -1)[:, CONTEXT:]
-        return cls(np.where(there, seen, END_CLASS), there, target)
+        begin = start[doc] + turn * STRIDE - CONTEXT
+        span = np.arange(SPAN)
+        there = (span >= (turn == 0)[:, None] * CONTEXT) & (span < (start + lengths)[doc][:, None] - begin[:, None])
+        around = np.full(len(stream) + CONTEXT + 1 + SPAN, END_CLASS, np.uint8)
+        around[CONTEXT + 1 : CONTEXT + 1 + len(stream)] = stream
+        seen = np.lib.stride_tricks.sliding_window_view(around, SPAN)[begin + CONTEXT]
+        seen[turn == 0, CONTEXT] = END_CLASS  # a text begins after an end
+        place = (begin + CONTEXT)[:, None] + span[:STRIDE]
+        return cls(np.where(there, seen, np.uint8(END_CLASS)), there, np.where(there[:, CONTEXT:], place, -1))
 
 
 class Attention:
@@ -146,30 +153,65 @@ class Attention:
         self.gate, self.out_gate = np.zeros(CLASSES, np.float32), np.zeros(WIDTH, np.float32)
         self.near = np.zeros(SPAN, np.float32)  # attention by distance
         distance = np.arange(CONTEXT, SPAN)[:, None] - np.arange(SPAN)
-        self._visible = (distance >= 0).astype(np.float32)
+        self._visible = distance >= 0
         self._distance = np.clip(distance, 0, SPAN - 1)
 
     parts = (
         "starts", "rest", "gate", "query", "key", "value", "out_starts", "out_rest", "out_gate", "near",
     )
 
-    def _attend(self, seen: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per position the pairs of classes that meet and the weights of the places it sees,
-        their sums, the values, and the mix of them.
+    def _tables(self) -> tuple[tuple[Any, ...], list[tuple[Any, ...]]]:
+        """What `_attend` and `_logits` look up; for either side also the first of its classes.
 
-        A weight depends on two classes and a distance, so those of all classes are computed
-        and looked up.  Scores are small, so they need no shift; a column of ones gives the sums.
+        Places outside the texts have a row of their own: no query, key or value.  A column of
+        ones in the values gives the sums of weights, one of the gate in each side's table the
+        choice between them.  Logits above 60 are cut, where there can be any.
         """
-        meet = self.query @ np.clip(self.key, -9, 9).T
-        pairs = (seen[:, CONTEXT:].astype(np.int64) * CLASSES)[:, :, None] + seen[:, None, :]
+        rows = np.zeros((3, CLASSES + 1, WIDTH + 1), self.value.dtype)
+        rows[0, :-1, :-1], rows[1, :-1, :-1], rows[2, :-1, :-1] = self.query, np.clip(self.key, -9, 9), self.value
+        rows[2, :-1, WIDTH] = 1
+        bias = np.where(self._visible, self.near[self._distance], np.float32(-np.inf))
+        query, key = rows[0, :, :-1].copy(), rows[1, :, :-1].copy()
+        sides = []
+        for table, out, base in ((self.starts, self.out_starts, 0), (self.rest, self.out_rest, STARTS)):
+            # A mix of values lies between them.
+            exceeds = table.max() + max(0.0, (self.value @ out).max()) > 60 or np.abs(self.gate).max() + np.abs(self.value @ self.out_gate).max() > 60
+            sides.append((np.column_stack([table, self.gate]), np.column_stack([out, self.out_gate]), exceeds, base))
+        return (query, key, rows[2], bias, (query @ key.T).max() > 60), sides
+
+    def _attend(self, tables: tuple[Any, ...], seen: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per position its query, the keys, the weights of the places it sees, their sums, the
+        values, and the mix of them.  Scores are small, so they need no shift."""
+        query, key, value, bias, exceeds = tables
         # All places lie in their tables; with "clip", take() need not look at them first.
-        v = np.concatenate([self.value, np.ones((CLASSES, 1), np.float32)], axis=1).take(seen, axis=0, mode="clip")
-        v *= there[:, :, None]
-        weight = np.exp(np.minimum(meet, 60)).ravel().take(pairs, mode="clip")
-        weight *= np.exp(self.near)[self._distance] * self._visible
+        q = query.take(seen[:, CONTEXT:], axis=0, mode="clip")
+        k, v = key.take(seen, axis=0, mode="clip"), value.take(seen, axis=0, mode="clip")
+        weight = np.matmul(q, k.transpose(0, 2, 1))
+        if exceeds:
+            np.minimum(weight, 60, out=weight)
+        weight += bias
+        np.exp(weight, out=weight)
         mixed = np.matmul(weight, v)
-        total = np.maximum(mixed[:, :, -1:], np.float32(1e-30))
-        return pairs, weight, total, v[:, :, :-1], mixed[:, :, :-1] / total
+        total = np.maximum(mixed[:, :, WIDTH:], np.float32(1e-30))
+        return q, k, weight, total, v, mixed[:, :, :WIDTH] / total
+
+    @staticmethod
+    def _by_side(seen: np.ndarray, target: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The places that count, those before starts first and by the units before, these with
+        128 more before others, and how many stand before starts."""
+        target = target.ravel()
+        after = stream.take(target, mode="clip") >= STARTS
+        group = np.where(target >= 0, seen[:, CONTEXT:].ravel() + after * np.uint8(128), np.uint8(255))
+        n = np.bincount(group, minlength=256)
+        order = np.argsort(group, kind="stable")[: len(group) - n[255]]
+        return order, group[order], int(n[:128].sum())
+
+    @staticmethod
+    def _logits(side: tuple[Any, ...], rows: np.ndarray, last: np.ndarray) -> np.ndarray:
+        table, out, exceeds, _ = side
+        logits = _times(rows, out)
+        logits += table.take(last, axis=0, mode="clip")
+        return np.minimum(logits, 60, out=logits) if exceeds else logits
 
     def log_probabilities(self, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per unit of the stream: log of its class's probability, and of a word's begin or
@@ -177,26 +219,21 @@ class Attention:
         windows = Windows.over(stream, lengths)
         own = np.empty(len(stream), np.float32)
         begin = np.empty(len(stream), np.float32)
+        tables, sides = self._tables()
         for at in range(0, len(windows.seen), _WINDOWS):
             part = slice(at, at + _WINDOWS)
-            seen, target = windows.seen[part], windows.target[part].ravel()
-            *_, mixed = self._attend(seen, windows.there[part])
-            keep = np.flatnonzero(target >= 0)
-            place = target[keep]
-            last, hidden, wanted = seen[:, CONTEXT:].ravel()[keep], mixed.reshape(-1, WIDTH)[keep], stream[place]
-            gate = np.clip(_times(hidden, self.out_gate[:, None])[:, 0] + self.gate[last], -30, 30)
-            begin[place] = -np.log1p(np.exp(-gate))
-            for side in (wanted < STARTS, wanted >= STARTS):
-                some = np.flatnonzero(side)
-                if not len(some):
-                    continue
-                first = int(wanted[some[0]]) < STARTS
-                logits = _times(hidden[some], self.out_starts if first else self.out_rest)
-                logits += (self.starts if first else self.rest).take(last[some], axis=0, mode="clip")
-                chosen = logits[np.arange(len(some)), wanted[some] - (0 if first else STARTS)]
-                np.exp(np.minimum(logits, 60, out=logits), out=logits)
-                total = np.log(_times(logits, np.ones((logits.shape[1], 1), np.float32))[:, 0])
-                own[place[some]] = chosen - total - np.log1p(np.exp(-gate[some] if first else gate[some]))
+            seen, target = windows.inside(part), windows.target[part]
+            *_, mixed = self._attend(tables, seen)
+            keep, last, n = self._by_side(seen, target, stream)
+            place, hidden = target.ravel()[keep], mixed.reshape(-1, WIDTH).take(keep, axis=0, mode="clip")
+            for side, some in zip(sides, (slice(n), slice(n, None)), strict=True):
+                base, where = side[-1], place[some]
+                logits = self._logits(side, hidden[some], last[some] & np.uint8(127))
+                chosen = logits[np.arange(len(logits)), stream[where] - np.uint8(base)]
+                gate = np.clip(logits[:, -1], -30, 30)
+                np.exp(logits, out=logits)
+                begin[where] = begins = -np.log1p(np.exp(-gate))
+                own[where] = chosen - np.log(_times(logits, _ones(logits))[:, 0]) + (begins - gate if base else begins)
         return own, begin
 
     def start(self, steps: np.ndarray) -> None:
@@ -226,68 +263,91 @@ class Attention:
     ) -> None:
         """Adam over some windows, from the parameters as they are."""
         draw = np.random.default_rng(1)
-        first = {name: np.zeros_like(getattr(self, name)) for name in self.parts}
-        second = {name: np.zeros_like(getattr(self, name)) for name in self.parts}
-        step = 0
+        # All parameters in one row, of which each is a part.
+        flat, at = np.concatenate([getattr(self, name).ravel() for name in self.parts]), 0
+        slow = np.empty(len(flat), np.float32)
+        for name in self.parts:
+            own = getattr(self, name)
+            slow[at : at + own.size] = 0.1 if name in ("starts", "rest", "gate") else 1.0
+            setattr(self, name, flat[at : at + own.size].reshape(own.shape))
+            at += own.size
+        first, second, step = np.zeros_like(flat), np.zeros_like(flat), 0
         for _ in range(rounds):
             order = draw.permutation(len(windows.seen))
             for at in range(0, len(order), batch):
                 step += 1
                 grads = self._gradients(stream, windows, order[at : at + batch])
-                for name, grad in grads.items():
-                    grad = grad.astype(np.float32, copy=False)
-                    first[name] += np.float32(0.1) * (grad - first[name])
-                    second[name] += np.float32(0.01) * (grad * grad - second[name])
-                    pace = rate * (0.1 if name in ("starts", "rest", "gate") else 1.0) / (1 - 0.9**step)
-                    scale = np.sqrt(second[name] * np.float32(1 / (1 - 0.99**step))) + np.float32(1e-7)
-                    setattr(self, name, getattr(self, name) - np.float32(pace) * first[name] / scale)
+                grad = np.concatenate([grads[name].ravel() for name in self.parts]).astype(np.float32, copy=False)
+                first += np.float32(0.1) * (grad - first)
+                grad *= grad
+                grad -= second
+                grad *= np.float32(0.01)
+                second += grad
+                scale = np.sqrt(second * np.float32(1 / (1 - 0.99**step)))
+                scale += np.float32(1e-7)
+                np.divide(first, scale, out=scale)
+                scale *= slow
+                scale *= np.float32(rate / (1 - 0.9**step))
+                flat -= scale
 
     def _gradients(self, stream: np.ndarray, windows: Windows, some: np.ndarray) -> dict[str, np.ndarray]:
-        seen, there, target = windows.seen[some], windows.there[some], windows.target[some].ravel()
-        pairs, weight, total, v, mixed = self._attend(seen, there)
-        weight *= there[:, None, :].astype(np.float32)
-        keep = np.flatnonzero(target >= 0)
-        last = seen[:, CONTEXT:].ravel()[keep]
-        own, wanted = mixed.reshape(-1, WIDTH)[keep], stream[target[keep]]
-        begins = wanted < STARTS
-        d_gate = (1 / (1 + np.exp(-(own @ self.out_gate + self.gate[last]))) - begins) / len(keep)
-        d_gate = d_gate.astype(np.float32)
-        found = {"gate": np.bincount(last, d_gate, CLASSES), "out_gate": own.T @ d_gate}
-        d_own = d_gate[:, None] * self.out_gate
-        for name, some, base in (
-            ("starts", np.flatnonzero(begins), 0), ("rest", np.flatnonzero(~begins), STARTS),
-        ):
-            # In the order of the units before, whose rows of the table are added up.
-            some = some[np.argsort(last[some], kind="stable")]
-            table, out, rows = getattr(self, name), getattr(self, f"out_{name}"), own[some]
-            logits = _times(rows, out)
-            logits += table.take(last[some], axis=0, mode="clip")
-            np.exp(np.minimum(logits, 60, out=logits), out=logits)
-            logits /= _times(logits, np.full((logits.shape[1], 1), len(keep), np.float32))
-            logits[np.arange(len(some)), wanted[some] - base] -= np.float32(1 / len(keep))
-            found[name] = np.zeros_like(table)
-            if len(some):
-                held, first = np.unique(last[some], return_index=True)
-                found[name][held] = np.add.reduceat(logits, first, axis=0)
-            found[f"out_{name}"] = rows.T @ logits
-            d_own[some] += _times(logits, out.T)
-        d_mixed = np.zeros_like(mixed)
-        d_mixed.reshape(-1, WIDTH)[keep] = d_own
+        tables, sides = self._tables()
+        share = np.float32(1 / max(1, np.count_nonzero(windows.there[some, CONTEXT:])))
+        parts = [
+            self._gradients_of(tables, sides, stream, windows.inside(some[at : at + _WINDOWS]), windows.target[some[at : at + _WINDOWS]], share)
+            for at in range(0, len(some), _WINDOWS)
+        ]
+        return {name: sum(part[name] for part in parts) for name in self.parts}
+
+    def _gradients_of(
+        self, tables: tuple[Any, ...], sides: list[tuple[Any, ...]], stream: np.ndarray, seen: np.ndarray, target: np.ndarray, share: np.float32
+    ) -> dict[str, np.ndarray]:
+        q, k, weight, total, v, mixed = self._attend(tables, seen)
+        # In the order of the units before, whose rows of the tables are added up.
+        keep, group, n = self._by_side(seen, target, stream)
+        own, wanted = mixed.reshape(-1, WIDTH).take(keep, axis=0, mode="clip"), stream[target.ravel()[keep]]
+        found: dict[str, np.ndarray] = {"gate": 0, "out_gate": 0}
+        d_own = np.empty_like(own)
+        for name, side, some in (("starts", sides[0], slice(n)), ("rest", sides[1], slice(n, None))):
+            rows, last, (table, out, _, base) = own[some], group[some] & np.uint8(127), side
+            logits = self._logits(side, rows, last)
+            np.exp(logits, out=logits)
+            gate = logits[:, -1] * share / (1 + logits[:, -1])
+            logits *= np.repeat(share / _times(logits, _ones(logits)), logits.shape[1], axis=1)
+            logits.ravel()[np.arange(len(rows)) * logits.shape[1] + wanted[some] - base] -= share
+            logits[:, -1] = gate if base else gate - share
+            d_table, d_out = _sum_runs(last, logits, CLASSES), rows.T @ logits
+            found[name], found[f"out_{name}"] = d_table[:, :-1], d_out[:, :-1]
+            found["gate"], found["out_gate"] = found["gate"] + d_table[:, -1], found["out_gate"] + d_out[:, -1]
+            d_own[some] = _times(logits, np.ascontiguousarray(out.T))
+        # A column more: what the sum of the weights takes.
+        d_mixed = np.zeros((*mixed.shape[:2], WIDTH + 1), mixed.dtype)
+        d_mixed.reshape(-1, WIDTH + 1)[keep, :WIDTH] = d_own
         d_mixed /= total  # instead of the weights, which are three times as many
-        d_weight = np.matmul(d_mixed, v.transpose(0, 2, 1))
-        d_weight -= np.einsum("nqw,nqw->nq", d_mixed, mixed)[:, :, None]
-        d_score = np.multiply(weight, d_weight, out=d_weight)
-        meet = np.bincount(pairs.ravel(), d_score.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32)
-        found["query"], found["key"] = meet @ np.clip(self.key, -9, 9), meet.T @ self.query
-        found["value"] = _sum_rows(seen.ravel(), np.matmul(weight.transpose(0, 2, 1), d_mixed).reshape(-1, WIDTH))
-        found["near"] = np.bincount(
-            self._distance.ravel(), d_score.sum(axis=0).ravel(), minlength=SPAN
-        ).astype(np.float32)
+        np.negative(np.einsum("nqw,nqw->nq", d_mixed[:, :, :WIDTH], mixed), out=d_mixed[:, :, WIDTH])
+        d_score = np.matmul(d_mixed, v.transpose(0, 2, 1))
+        d_score *= weight
+        found["near"] = np.bincount(self._distance.ravel(), d_score.sum(axis=0).ravel(), minlength=SPAN)
+        d_query = _sum_runs(group, np.matmul(d_score, k).reshape(-1, WIDTH).take(keep, axis=0, mode="clip"), 256)
+        found["query"] = d_query[:CLASSES] + d_query[128 : 128 + CLASSES]
+        order = np.argsort(seen, axis=None, kind="stable")
+        held = seen.ravel()[order]
+        for name, rows in (("key", np.matmul(d_score.transpose(0, 2, 1), q)), ("value", np.matmul(weight.transpose(0, 2, 1), d_mixed))):
+            found[name] = _sum_runs(held, rows.reshape(len(held), -1).take(order, axis=0, mode="clip"), CLASSES + 1)[:CLASSES, :WIDTH]
         return found
 
 
-def _sum_rows(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The sums of the rows of each class."""
-    width = rows.shape[1]
-    place = index.astype(np.int64)[:, None] * width + np.arange(width)
-    return np.bincount(place.ravel(), rows.ravel(), CLASSES * width).reshape(CLASSES, width).astype(np.float32)
+def _ones(logits: np.ndarray) -> np.ndarray:
+    """What sums up the logits' rows without the gate's column."""
+    ones = np.ones((logits.shape[1], 1), logits.dtype)
+    ones[-1] = 0
+    return ones
+
+
+def _sum_runs(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows of each of `size` classes, rows of a class being together."""
+    found, n = np.zeros((size, rows.shape[1]), rows.dtype), np.bincount(index, minlength=size)
+    held = np.flatnonzero(n)
+    if len(held):
+        found[held] = np.add.reduceat(rows, (np.cumsum(n) - n)[held], axis=0)
+    return found

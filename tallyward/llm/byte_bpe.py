@@ -108,30 +108,39 @@ class ByteBpe:
         data = array("I", ids).tobytes()
         return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
-    def ids_of_letters(self, words: list[str]) -> tuple[list[str], list[int], list[int], list[str]]:
-        """Words of letters among `words`, all their ids, each with a space before it, and how
-        many each has; and the other words, which `encode_words` takes."""
+    def ids_of_letters(self, words: list[str]) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Places of the words of letters among `words`, all their ids, each with a space before
+        it, and how many each has; and places of the other words, which `encode_words` takes."""
         if not self._direct:
-            return [], [], [], words
+            return [], [], [], list(range(len(words)))
         tokenize, table = self.tokenizer.model.tokenize, self._table
         before = table[32]
         letters, ids, sizes, others = [], [], [], []
-        for word in words:
+        for at, word in enumerate(words):
             if not word.isalpha():
-                others.append(word)
+                others.append(at)
                 continue
-            plain = word
             if not word.isascii():
                 if max(word) >= _LETTERS:
-                    others.append(word)
+                    others.append(at)
                     continue
-                plain = word.encode().decode("latin-1").translate(table)
-            tokens = tokenize(before + plain)
+                word = word.encode().decode("latin-1").translate(table)
+            tokens = tokenize(before + word)
             ids += [token.id for token in tokens]
             sizes.append(len(tokens))
-            letters.append(word)
+            letters.append(at)
         return letters, ids, sizes, others
 
+    def stem(self, word: str) -> str:
+        """A word's letters without the marks after them, where these are a piece of their own;
+        otherwise the word itself."""
+        stem = word.rstrip(self._marks) if self._marks else word
+        return stem if len(word) - len(stem) <= _TAIL and _has_letters_only(stem) else word
+
+    def tail(self, marks: str) -> bytes:
+        """The ids of marks after letters."""
+        return self._tail(marks)
+
     def _encode_joined(self, words: list[str], mark: str = " ") -> list[bytes]:
         """The ids of words, each with a space or a line end before it, by few calls of
         the library.

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 from math import isqrt
 from typing import Any
 
@@ -63,7 +64,7 @@ GROUPS, GATHERED = 256, 32
 SHARE = 0.25
 #: Weight of a class's plain shares against the counted pairs.
 PLAIN = 5.0
-#: Words besides the head whose units a worker remembers, words that it counts at a time.
+#: Words besides the head whose units a worker's memory has, words that it counts at a time.
 REMEMBERED, COUNTED = 400_000, 200_000
 #: Pairs that are sorted at a time.
 _PAIRS = 1 << 21
@@ -151,21 +152,40 @@ def split_words(bpe: ByteBpe, words: list[str]) -> tuple[np.ndarray, np.ndarray,
 # -- units of texts, in workers -----------------------------------------------
 
 
+def ranges(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of some ranges, one after another."""
+    return np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
 class Numbers(dict):
-    """Words' numbers; a word that is asked for gets the next one and waits to be spelled."""
+    """Words' numbers; a word that is asked for gets the next one and waits for its units, that
+    are copied where an older memory has the word."""
 
-    def __init__(self) -> None:
-        super().__init__()
+    def __init__(self, words: Iterable[bytes] = (), older: dict[bytes, int] | None = None) -> None:
+        super().__init__(zip(words, count(), strict=False))
+        self.older = older or {}
         self.waiting: list[bytes] = []
+        self.places: list[int] = []  # numbers of those that wait
+        self.copied: tuple[list[int], list[int]] = [], []  # numbers here and there
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        self.waiting.append(word)
+        there = self.older.get(word)
+        if there is None:
+            self.waiting.append(word)
+            self.places.append(number)
+        else:
+            self.copied[0].append(number)
+            self.copied[1].append(there)
         return number
 
 
 class Spelling:
-    """Per worker: the units of the words met; the end's is the last of all."""
+    """Per worker: the units of the words met; the end's is the last of all.
+
+    Words are remembered in two memories.  When one is full it becomes the older one, whose
+    words move to the new one as they are met again, and that before it goes.
+    """
 
     def __init__(self, path: str, base: Iterable[bytes] = ()):
         self.bpe = encoder(path)
@@ -175,29 +195,81 @@ class Spelling:
         self.offset, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
         for word in (END, *base):
             self.known[word]
+        self.base = list(self.known)
+        self.n_base = len(self.base)
+        self.older = self.blob, self.offset, self.length
         self.learn()
-        self.n_base, self.base_held = len(self.known), self.held
+        self.base_held = self.held
 
     def clear(self) -> None:
-        """Back to the first words."""
-        for word in list(self.known)[self.n_base :]:
-            del self.known[word]
-        self.held = self.base_held
+        """The first words alone are known; the others are to be copied when they are met."""
+        self.known = Numbers(self.base, dict(self.known))
+        self.older = self.blob, self.offset, self.length
+        self.blob, self.held = self.blob[: self.base_held].copy(), self.base_held
+        self.offset, self.length = self.offset[: self.n_base].copy(), self.length[: self.n_base].copy()
 
     def learn(self) -> None:
-        """Spell the words that wait."""
-        waiting, self.known.waiting = self.known.waiting, []
-        if waiting[:1] == [END]:
-            self._put(np.array([self.known[END]]), np.array([2 * self.bpe.size]), np.array([1]))
-            waiting = waiting[1:]
-        letters, ids, sizes, others = self.bpe.ids_of_letters([word.decode() for word in waiting])
+        """Spell the words that wait.
+
+        Marks after letters are a piece of their own: a word with them has the units of the
+        word without, which is remembered too, and theirs."""
+        known, size = self.known, self.bpe.size
+        waiting, places = self._waiting()
+        if waiting[:1] == [""]:
+            self._put(places[:1], np.array([2 * size]), np.array([1]))
+            waiting, places = waiting[1:], places[1:]
+        others = self._learn_letters(waiting, places)
+        odd, marked, stems, tails = [], [], [], []
+        for at in others:
+            stem = self.bpe.stem(waiting[at])
+            if stem is waiting[at]:
+                odd.append(at)
+            else:
+                marked.append(at)
+                stems.append(known[stem.encode()])
+                tails.append(waiting[at][len(stem) :])
+        units, _, lengths = split_words(self.bpe, [waiting[at] for at in odd])
+        self._put(places[odd], units, lengths)
+        self._learn_letters(*self._waiting())
+        if known.copied[0]:
+            numbers, origins = map(np.array, known.copied)
+            known.copied = [], []
+            blob, offset, length = self.older
+            lengths = length[origins].astype(np.int64)
+            self._put(numbers, blob[ranges(offset[origins], lengths)], lengths)
+        if marked:
+            self._put(places[marked], *self._with_tails(np.array(stems), tails))
+
+    def _waiting(self) -> tuple[list[str], np.ndarray]:
+        """The words that wait, and their numbers; no word has a line end."""
+        known = self.known
+        waiting, places = known.waiting, np.array(known.places, np.int64)
+        known.waiting, known.places = [], []
+        return b"\n".join(waiting).decode().split("\n") if waiting else [], places
+
+    def _learn_letters(self, words: list[str], places: np.ndarray) -> list[int]:
+        """Spell the words of letters; the places of the others."""
+        letters, ids, sizes, others = self.bpe.ids_of_letters(words)
         lengths = np.array(sizes, np.int64)
         units = np.array(ids, np.int64) + self.bpe.size
         units[np.cumsum(lengths) - lengths] -= self.bpe.size  # ids that begin a word
-        number = self.known.__getitem__
-        self._put(np.array([number(word.encode()) for word in letters], np.int64), units, lengths)
-        units, _, lengths = split_words(self.bpe, others)
-        self._put(np.array([number(word.encode()) for word in others], np.int64), units, lengths)
+        self._put(places[letters], units, lengths)
+        return others
+
+    def _with_tails(self, stems: np.ndarray, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of words and of the marks after them, and how many these are."""
+        number = {tail: at for at, tail in enumerate(dict.fromkeys(tails))}
+        ids = [np.frombuffer(self.bpe.tail(tail), "<u4") for tail in number]
+        more = np.array(list(map(len, ids)), np.int64)
+        which = np.array([number[tail] for tail in tails])
+        units, lengths = self.units(stems)
+        both = lengths + more[which]
+        first = np.cumsum(both) - both
+        found = np.empty(both.sum(), np.int64)
+        found[ranges(first, lengths)] = units
+        found[ranges(first + lengths, more[which])] = np.concatenate(ids)[ranges((np.cumsum(more) - more)[which], more[which])]
+        found[ranges(first + lengths, more[which])] += self.bpe.size  # none begins a word
+        return found, both
 
     def _put(self, numbers: np.ndarray, units: np.ndarray, lengths: np.ndarray) -> None:
         for name, size in (("offset", len(self.known)), ("length", len(self.known)), ("blob", self.held + len(units))):
@@ -215,15 +287,14 @@ class Spelling:
             self.clear()
         number = self.known.__getitem__
         found = [np.fromiter(map(number, [*words, END]), np.int64, len(words) + 1) for words in texts]
-        if self.known.waiting:
+        if self.known.waiting or self.known.copied[0]:
             self.learn()
         return found
 
     def units(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All units of the words, and the units of each word."""
         lengths = self.length[index].astype(np.int64)
-        first = np.cumsum(lengths) - lengths
-        return self.blob[np.repeat(self.offset[index] - first, lengths) + np.arange(lengths.sum())], lengths
+        return self.blob[ranges(self.offset[index], lengths)], lengths
 
     def chunks(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For some texts at a time all their units, each text's end last, and how many a text has."""
@@ -524,7 +595,7 @@ class Lexicon(Spelling):
         self.model = model
         super().__init__(model.path, model.head)
         # One more, for all other words.
-        self.count = np.array([*(model.head.get(word, 0) for word in self.known), 0], np.int64)
+        self.count = np.array([*(model.head.get(word, 0) for word in self.base), 0], np.int64)
 
 
 def spell(model: Model, units: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyward.llm import bpe_codec, byte_bpe, lm_score, token_counts, token_files
+from tallyward.llm import attention_model, bpe_codec, byte_bpe, lm_score, token_counts, token_files
 from tallyward.llm.attention_model import CLASSES, CONTEXT, SPAN, STRIDE
 from tests.llm.conftest import DOCS
 
@@ -276,6 +276,60 @@ def test_gradients_against_differences():
             assert found[name].reshape(-1)[at] == pytest.approx((losses[0] - losses[1]) / 2e-4, abs=2e-3), name
 
 
+def test_windows_see_their_own_text():
+    draw = np.random.default_rng(6)
+    lengths = np.array([1, 24, 25, 80, 2, 23])
+    stream = draw.integers(0, CLASSES, lengths.sum()).astype(np.uint8)  # texts that no end closes, too
+    windows = lm_score.Windows.over(stream, lengths)
+    row = 0
+    for first, length in zip((np.cumsum(lengths) - lengths).tolist(), lengths.tolist(), strict=True):
+        for begin in range(-CONTEXT, length - CONTEXT, STRIDE):
+            for at in range(SPAN):
+                inside = 0 <= begin + at < length
+                seen = lm_score.END_CLASS if begin + at <= 0 or not inside else stream[first + begin + at - 1]
+                assert windows.there[row, at] == inside and windows.seen[row, at] == seen
+                if at >= CONTEXT:
+                    assert windows.target[row, at - CONTEXT] == (first + begin + at if inside else -1)
+            row += 1
+    assert row == len(windows.seen)
+
+
+def test_gradients_of_large_batches_are_the_sum_of_parts(monkeypatch):
+    draw = np.random.default_rng(7)
+    net = lm_score.Attention()
+    lengths = np.array([700, 1, 330, 24, 50])
+    stream = draw.integers(0, CLASSES, lengths.sum()).astype(np.uint8)
+    windows = lm_score.Windows.over(stream, lengths)
+    net.start(np.bincount(draw.integers(0, CLASSES**2, 9000), minlength=CLASSES**2))
+    some, found = draw.permutation(len(windows.seen)), []
+    for size in (1000, 7, 1):
+        monkeypatch.setattr(attention_model, "_WINDOWS", size)
+        found.append(net._gradients(stream, windows, some) | dict(zip("ab", net.log_probabilities(stream, lengths), strict=True)))
+    for name in (*net.parts, "a", "b"):
+        assert all(np.allclose(found[0][name], other[name], atol=2e-5) for other in found[1:]), name
+
+
+def test_a_word_met_lately_is_not_spelled_again(monkeypatch):
+    """Neither when a memory is full, nor for marks after it."""
+    monkeypatch.setattr(lm_score, "REMEMBERED", 40)
+    spelling = lm_score.Spelling(BYTE, [b"base,", b"words"])
+    asked, encode, plain = [], spelling.bpe.ids_of_letters, spelling.bpe.encode_words
+    monkeypatch.setattr(spelling.bpe, "ids_of_letters", lambda words: asked.extend(words) or encode(words))
+    monkeypatch.setattr(spelling.bpe, "encode_words", lambda words: asked.extend(words) or plain(words))
+    names = [f"w{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(200)]
+    texts = [f"base, {name}, often and often, words {name} {name}... 7{n} \u65e5{name}!" for n, name in enumerate(names)]
+    found = [stream for text in texts for stream in spelling.streams([text])]
+    assert sum(word in ("often", "and") for word in asked) == 2 and asked.count("wac") == 1
+    assert len(spelling.known) <= spelling.n_base + 50 and len(spelling.known.older) <= spelling.n_base + 50
+    size = spelling.bpe.size
+    for text, stream in zip(texts, found, strict=True):
+        wanted = []
+        for word in text.split():
+            ids = spelling.bpe.tokenizer.encode(" " + word, add_special_tokens=False).ids
+            wanted += [ids[0], *(size + each for each in ids[1:])]
+        assert stream.tolist() == [*wanted, 2 * size]
+
+
 def test_a_worker_holds_little(monkeypatch):
     monkeypatch.setattr(lm_score, "REMEMBERED", 50)
     spelling = lm_score.Spelling(BYTE, [b"base", b"words"])
