@@ -203,7 +203,9 @@ class Spelling:
 
     def clear(self) -> None:
         """The first words alone are known; the others are to be copied when they are met."""
-        self.known = Numbers(self.base, dict(self.known))
+        full = self.known
+        full.older = {}
+        self.known = Numbers(self.base, full)
         self.older = self.blob, self.offset, self.length
         self.blob, self.held = self.blob[: self.base_held].copy(), self.base_held
         self.offset, self.length = self.offset[: self.n_base].copy(), self.length[: self.n_base].copy()
@@ -519,7 +521,7 @@ def windows_of(leads: list[int], data: list[bytes], classes: np.ndarray) -> tupl
     """All windows of the pieces of a shard, and the classes that their targets are places in."""
     # An order that does not depend on the table's, mixed as like texts lie together.
     held = sorted(zip(data, leads, strict=True))
-    units = np.frombuffer(b"".join(piece for piece, _ in held), "<i4")
+    own = classes[np.frombuffer(b"".join(piece for piece, _ in held), "<i4")]
     lengths = np.array([len(piece) // 4 for piece, _ in held], np.int32)
     lead = np.array([lead for _, lead in held], np.int32)
     per = -(-(lengths - lead) // STRIDE)
@@ -527,10 +529,12 @@ def windows_of(leads: list[int], data: list[bytes], classes: np.ndarray) -> tupl
     turn = np.arange(len(piece)) - np.repeat(np.cumsum(per) - per, per)
     mixed = np.random.default_rng(1).permutation(len(piece))
     piece, turn = piece[mixed], turn[mixed]
-    at = (lead[piece] + turn * STRIDE - CONTEXT - 1).astype(np.int32)[:, None] + np.arange(SPAN + 1, dtype=np.int32)
-    inside = (at >= 0) & (at < lengths[piece][:, None])
-    first = (np.cumsum(lengths) - lengths).astype(np.int32)
-    codes = np.where(inside, classes[units[np.where(inside, at + first[piece][:, None], 0)]], END_CLASS)
+    begin = (lead[piece] + turn * STRIDE - CONTEXT - 1).astype(np.int32)  # in its piece
+    span = np.arange(SPAN + 1, dtype=np.int32)
+    inside = (span >= -begin[:, None]) & (span < (lengths[piece] - begin)[:, None])
+    around = np.concatenate([np.full(CONTEXT + 1, END_CLASS, np.uint8), own, np.full(SPAN, END_CLASS, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(around, SPAN + 1)
+    codes = np.where(inside, rows[(np.cumsum(lengths) - lengths)[piece] + begin + CONTEXT + 1], np.uint8(END_CLASS))
     there = inside[:, 1:]
     places = np.arange(codes.size, dtype=np.int32).reshape(codes.shape)
     target = np.where(there, places[:, 1:], -1)[:, CONTEXT:]
